@@ -82,18 +82,18 @@ def _through_pairs(frame: DataFrame, spec: AggregateSpec, counted: str) -> DataF
     """
     per_pair, per_group = [], []
     for place, metric in enumerate(spec.metrics):
-        partial = f"m{place}"
+        partial = f"_m{place}"
         if metric.function == SUM:
             per_pair.append(F.sum(_addend(frame, metric)).alias(partial))
             measure = _total(F.col(partial))
         elif metric.function == COUNT:
             per_pair.append(F.count(quoted(metric.column)).alias(partial))
-            measure = F.sum(partial)
+            measure = F.coalesce(F.sum(partial), F.lit(0))
         else:
-            measure = F.count(F.col("counted"))
+            measure = F.count("_counted")
         per_group.append(measure.alias(_alias(metric)))
     groups = [quoted(name) for name in spec.group_by]
-    value = quoted(counted).alias("counted")
+    value = quoted(counted).alias("_counted")
     if per_pair:
         pairs = frame.groupBy(*groups, value).agg(*per_pair)
     else:
