@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import sys
+import tempfile
+import uuid
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from tallyloom.plans import Layout  # noqa: E402
+from tallyloom.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[*]",
+        {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder():
+    """A new folder per test; nothing in it is reused or cleared."""
+    return Path(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+
+
+@pytest.fixture
+def layout(folder):
+    run = uuid.uuid4().hex
+    return Layout(f"raw_{run}", f"enriched_{run}", f"aggregated_{run}", location=str(folder))
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for key, value in values.items():
+            name = "spark.sql." + key.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
