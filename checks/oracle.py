@@ -109,6 +109,63 @@ SELECT 'P' || p_partkey AS product_id,
 FROM part
 """
 
+PRODUCT_STATES = """
+SELECT product_id, category, sub_category, product_name, l_returnflag AS state, price_per_product
+FROM (
+    SELECT 'P' || p_partkey AS product_id,
+           p_type AS category,
+           p_brand AS sub_category,
+           p_name || ', "' || p_brand || '"' || chr(10) || p_type AS product_name,
+           p_retailprice AS price_per_product,
+           p_partkey
+    FROM part WHERE p_type <> 'ECONOMY'
+)
+LEFT JOIN (SELECT DISTINCT l_partkey, l_returnflag FROM lineitem) ON p_partkey = l_partkey
+"""
+
+
+def _enriched_orders(products: str) -> str:
+    """Order lines after every step; ``products`` holds key, category and sub_category."""
+    return f"""{FIRST_LINES},
+    enriched AS (
+        SELECT concat_ws('-', l_orderkey, l_linenumber) AS row_id,
+               'O' || l_orderkey AS order_id,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS order_date,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INTEGER)
+                    ELSE 0 END AS order_year,
+               CAST(l_shipdate AS DATE) AS ship_date,
+               l_returnflag || l_linestatus AS ship_mode,
+               'C' || o_custkey AS customer_id,
+               'P' || l_partkey AS product_id,
+               CAST(l_quantity AS INTEGER) AS quantity,
+               l_extendedprice AS price,
+               l_discount AS discount,
+               CAST(profit AS DOUBLE) AS profit,
+               coalesce({CLEAN_NAME.format("c_mktsegment || '  & ' || c_name")}, 'Unknown')
+               AS customer_name,
+               coalesce(n_name, 'Unknown') AS country,
+               coalesce(category, 'Unknown') AS category,
+               coalesce(sub_category, 'Unknown') AS sub_category
+        FROM lines
+        LEFT JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey
+                   WHERE c_mktsegment <> 'BUILDING') ON o_custkey = c_custkey
+        LEFT JOIN ({products}) ON l_partkey = p_partkey
+        WHERE place = 1
+    )"""
+
+
+FANNED_PRODUCTS = """
+    SELECT p_partkey, p_type AS category, p_brand AS sub_category
+    FROM part
+    LEFT JOIN (SELECT DISTINCT l_partkey AS state_key, l_returnflag FROM lineitem)
+           ON p_partkey = state_key
+    WHERE p_type <> 'ECONOMY'"""
+
+SINGLE_PRODUCTS = """
+    SELECT p_partkey, p_type AS category, p_brand AS sub_category
+    FROM part WHERE p_type <> 'ECONOMY'"""
+
 ORACLE_SQL: dict[str, str] = {
     "profit_by_grain": f"""{BY_GRAIN}
         SELECT order_year, category, sub_category, customer_id, customer_name,
@@ -150,23 +207,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_returnflag, CAST(COUNT(l_orderkey) AS BIGINT) AS l_orderkey_count,
                CAST(SUM(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS total_l_quantity
         FROM lineitem GROUP BY ALL""",
-    "latest_event_batch": """
+    "latest_batch": """
         SELECT event_id, user_id, event_type, value FROM events
         WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
     "snake_case_rename": """
         SELECT p_partkey AS part_id, p_name AS part_name, p_brand AS sub_brand,
                p_type AS type_of_part, p_size AS size_cm, p_retailprice AS retail_price
         FROM part""",
-    "trimmed_strings": """
+    "trim_strings": """
         SELECT p_partkey, trim(p_name) AS p_name, trim(p_brand) AS p_brand,
                trim(p_type || '  ' || p_name) AS p_type, p_size
         FROM part""",
-    "cleaned_names": f"""
+    "clean_names": f"""
         SELECT c_custkey, {CLEAN_NAME.format("c_name")} AS name,
                {CLEAN_NAME.format("'  O''' || c_mktsegment || ' 567   -' || c_name || '.. Jr.'")}
                AS full_name
         FROM customer""",
-    "validated_emails": r"""
+    "validate_emails": r"""
         WITH words AS (
             SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\r\n]+')) AS raw FROM documents
         )
@@ -174,14 +231,14 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN regexp_full_match(raw, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+')
                     THEN raw ELSE 'not valid' END AS email
         FROM words WHERE contains(raw, '@')""",
-    "normalised_phones": f"""
+    "normalise_phones": f"""
         WITH numbers AS (
             SELECT doc_id,
                    unnest(regexp_extract_all(text, '[+(]?[0-9][0-9().x +-]{{5,}}[0-9]')) AS raw
             FROM documents
         ), {PHONE_STEPS}
         SELECT doc_id, raw, {PHONE} FROM national""",
-    "normalised_customer_phones": f"""
+    "normalise_phone_cases": f"""
         WITH spelled AS (
             SELECT c_custkey, c_mktsegment,
                    lpad(CAST(floor(abs(c_acctbal) * 100) AS BIGINT) || '' || c_custkey, 10, '7') AS s
@@ -197,11 +254,11 @@ ORACLE_SQL: dict[str, str] = {
             FROM spelled
         ), {PHONE_STEPS}
         SELECT c_custkey, raw, {PHONE} FROM national""",
-    "padded_postal_codes": """
+    "pad_postal": """
         SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS code,
                lpad(p_partkey || '-' || p_size, 5, '0') AS long_code
         FROM part""",
-    "parsed_dates": r"""
+    "parse_dates": r"""
         WITH rendered AS (
             SELECT o_orderkey,
                    CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '31/2/%Y')
@@ -218,7 +275,7 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT o_orderkey, raw, order_date, CAST(year(order_date) AS INTEGER) AS order_year
         FROM parsed""",
-    "rounded_values": """
+    "round_values": """
         SELECT l_orderkey, l_linenumber,
                CAST(ROUND(CAST(l_quantity AS DECIMAL(13, 2)) * CAST(l_tax AS DECIMAL(3, 2)), 1)
                     AS DOUBLE) AS tax_share,
@@ -247,19 +304,19 @@ ORACLE_SQL: dict[str, str] = {
                 FROM lineitem
             )
         ) WHERE place = 1""",
-    "duplicate_key_report": """
+    "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS copies
         FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1""",
-    "duplicate_row_counts": """
+    "duplicate_summary": """
         SELECT COUNT(*) AS row_count, COUNT(DISTINCT (l_orderkey, l_linenumber)) AS key_count,
                COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS dropped
         FROM lineitem""",
-    "filled_missing": f"""{SOME_NATIONS}
+    "fill_missing": f"""{SOME_NATIONS}
         SELECT * REPLACE (coalesce(n_name, 'Unknown') AS n_name,
                           coalesce(n_weight, 0) AS n_weight,
                           coalesce(n_share, 0) AS n_share)
         FROM joined""",
-    "table_audit": f"""{SOME_NATIONS}
+    "audit_table": f"""{SOME_NATIONS}
         SELECT COUNT(*) AS row_count,
                COUNT(*) FILTER (WHERE c_custkey IS NULL OR n_name IS NULL) AS null_rows
         FROM joined""",
@@ -280,7 +337,7 @@ ORACLE_SQL: dict[str, str] = {
     "enrich_left_checked": """
         SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_quantity, p_brand, p_size
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
-    "fan_out_report": f"""{FLAGS}
+    "join_growth": f"""{FLAGS}
         SELECT (SELECT COUNT(*) FROM lineitem) AS rows_before,
                COUNT(*) AS rows_after,
                COUNT(*) FILTER (WHERE f.flag IS NULL) AS rows_unmatched
@@ -306,6 +363,28 @@ ORACLE_SQL: dict[str, str] = {
                CAST(c_custkey AS VARCHAR) AS postal_code,
                CAST(NULL AS VARCHAR) AS region
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "enriched_customers": f"""
+        SELECT 'C' || c_custkey AS customer_id,
+               {CLEAN_NAME.format("c_mktsegment || '  & ' || c_name")} AS customer_name,
+               CASE WHEN c_acctbal < 0 THEN 'not valid'
+                    ELSE 'c' || c_custkey || '@example.com' END AS email,
+               lpad(CAST(c_custkey AS VARCHAR), 10, '5') AS phone,
+               c_custkey || ' Main St' AS address,
+               c_mktsegment AS segment,
+               n_name AS country,
+               'Unknown' AS city,
+               'State ' || c_nationkey AS state,
+               lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS postal_code,
+               'NA' AS region
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "enriched_products": PRODUCT_STATES,
+    "enriched_orders_fanout": f"{_enriched_orders(FANNED_PRODUCTS)} SELECT * FROM enriched",
+    "enriched_orders_unique": f"{_enriched_orders(SINGLE_PRODUCTS)} SELECT * FROM enriched",
+    "profit_with_fanout": f"""{_enriched_orders(FANNED_PRODUCTS)}
+        SELECT order_year, category, sub_category, customer_id, customer_name,
+               CAST(SUM(CAST(profit AS DECIMAL(18, 2))) AS DOUBLE) AS total_profit,
+               COUNT(DISTINCT order_id) AS order_id_distinct_count
+        FROM enriched GROUP BY ALL""",
     "mart_end_to_end": f"""{FIRST_LINES}
         SELECT CASE WHEN o_orderstatus = 'P' THEN 0
                     ELSE CAST(year(o_orderdate) AS INTEGER) END AS order_year,

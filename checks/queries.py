@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from checks.rawfiles import pack_workbooks, write_csv, write_json_arrays
 from checks.star import line_profit, profit_by_grain, table
-from tallyloom import AggregateSpec, CleanRules, Metric, SinkSpec, SourceSpec
+from tallyloom import (
+    AggregateSpec,
+    CleanRules,
+    EnrichSpec,
+    Metric,
+    SinkSpec,
+    SourceSpec,
+)
 from tallyloom.operators import (
     aggregate,
     all_rollups,
@@ -29,10 +36,20 @@ from tallyloom.operators import (
     reaggregate,
     rollup,
     snake_case_columns,
+    stamp,
     trim_strings,
 )
-from tallyloom.plans import Layout, land, run_aggregated, run_enriched
-from tallyloom.retail import AGGREGATES, CUSTOMERS, ORDERS, PRODUCTS, PROFIT, SOURCES
+from tallyloom.plans import Layout, enrich, land, run_aggregated, run_enriched
+from tallyloom.plans.enriched import PROCESSED_COLUMN
+from tallyloom.retail import (
+    AGGREGATES,
+    CUSTOMERS,
+    ORDERS,
+    PRODUCTS,
+    PROFIT,
+    SOURCES,
+    orders_with,
+)
 from tallyloom.session import scratch_folder
 from tallyloom.sinks import create_database, qualified
 from tallyloom.sources import declared_schema, parse_workbooks, read_source, source_path
@@ -43,42 +60,45 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 # --- aggregation and reports ------------------------------------------------
 
-query(profit_by_grain)
+query("profit_by_grain")(profit_by_grain)
 
 
-@query
+@query("profit_by_year")
 def profit_by_year(spark: SparkSession, folder: str) -> DataFrame:
     return rollup(profit_by_grain(spark, folder), "profit_by_year")
 
 
-@query
+@query("profit_by_year_category")
 def profit_by_year_category(spark: SparkSession, folder: str) -> DataFrame:
     return rollup(profit_by_grain(spark, folder), "profit_by_year_category")
 
 
-@query
+@query("profit_by_customer")
 def profit_by_customer(spark: SparkSession, folder: str) -> DataFrame:
     return rollup(profit_by_grain(spark, folder), "profit_by_customer")
 
 
-@query
+@query("profit_by_customer_year")
 def profit_by_customer_year(spark: SparkSession, folder: str) -> DataFrame:
     return rollup(profit_by_grain(spark, folder), "profit_by_customer_year")
 
 
-@query
+@query("profit_grouping_sets")
 def profit_grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
     return all_rollups(profit_by_grain(spark, folder))
 
 
-@query
+@query("top_customers")
 def top_customers(spark: SparkSession, folder: str) -> DataFrame:
     totals = reaggregate(
         profit_by_grain(spark, folder), ["customer_id", "customer_name"], ["total_profit"]
@@ -86,7 +106,7 @@ def top_customers(spark: SparkSession, folder: str) -> DataFrame:
     return preview(totals, 10, [F.desc("total_profit"), "customer_id"])
 
 
-@query
+@query("sum_and_two_distinct_counts")
 def sum_and_two_distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
     spec = AggregateSpec(
         table="flags",
@@ -102,7 +122,7 @@ def sum_and_two_distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
     return aggregate(table(spark, folder, "lineitem"), spec)
 
 
-@query
+@query("count_metric")
 def count_metric(spark: SparkSession, folder: str) -> DataFrame:
     spec = AggregateSpec(
         table="priorities",
@@ -114,7 +134,7 @@ def count_metric(spark: SparkSession, folder: str) -> DataFrame:
     return aggregate(enrich_left_unmatched(spark, folder), spec)
 
 
-@query
+@query("summed_counts")
 def summed_counts(spark: SparkSession, folder: str) -> DataFrame:
     spec = AggregateSpec(
         table="line_counts",
@@ -129,7 +149,7 @@ def summed_counts(spark: SparkSession, folder: str) -> DataFrame:
 # --- batches, renames and cleaning ------------------------------------------
 
 
-@query
+@query("latest_batch")
 def latest_event_batch(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("batch_day")
@@ -137,7 +157,7 @@ def latest_event_batch(spark: SparkSession, folder: str) -> DataFrame:
     return latest_batch(events, "batch_day")
 
 
-@query
+@query("snake_case_rename")
 def snake_case_rename(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select(
         F.col("p_partkey").alias("Part ID"),
@@ -150,7 +170,7 @@ def snake_case_rename(spark: SparkSession, folder: str) -> DataFrame:
     return snake_case_columns(part)
 
 
-@query
+@query("trim_strings")
 def trimmed_strings(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select(
         "p_partkey",
@@ -162,7 +182,7 @@ def trimmed_strings(spark: SparkSession, folder: str) -> DataFrame:
     return trim_strings(part)
 
 
-@query
+@query("clean_names")
 def cleaned_names(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select(
         "c_custkey",
@@ -174,7 +194,7 @@ def cleaned_names(spark: SparkSession, folder: str) -> DataFrame:
     return clean(customers, CleanRules(names=("name", "full_name")))
 
 
-@query
+@query("validate_emails")
 def validated_emails(spark: SparkSession, folder: str) -> DataFrame:
     words = table(spark, folder, "documents").select(
         "doc_id", F.explode(F.split("text", "[ \\t\\r\\n]+")).alias("raw")
@@ -183,7 +203,7 @@ def validated_emails(spark: SparkSession, folder: str) -> DataFrame:
     return clean(addresses, CleanRules(emails=("email",)))
 
 
-@query
+@query("normalise_phones")
 def normalised_phones(spark: SparkSession, folder: str) -> DataFrame:
     numbers = table(spark, folder, "documents").select(
         "doc_id",
@@ -194,7 +214,7 @@ def normalised_phones(spark: SparkSession, folder: str) -> DataFrame:
     return clean(numbers.withColumn("phone", F.col("raw")), CleanRules(phones=("phone",)))
 
 
-@query
+@query("normalise_phone_cases")
 def normalised_customer_phones(spark: SparkSession, folder: str) -> DataFrame:
     """Every prefix and length case, spelled from the customer's key and balance."""
     key, cents = F.col("c_custkey").cast("string"), F.floor(F.abs("c_acctbal") * 100)
@@ -210,7 +230,7 @@ def normalised_customer_phones(spark: SparkSession, folder: str) -> DataFrame:
     return clean(rows.withColumn("phone", F.col("raw")), CleanRules(phones=("phone",)))
 
 
-@query
+@query("pad_postal")
 def padded_postal_codes(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select(
         "p_partkey",
@@ -220,7 +240,7 @@ def padded_postal_codes(spark: SparkSession, folder: str) -> DataFrame:
     return clean(part, CleanRules(postal_codes=("code", "long_code")))
 
 
-@query
+@query("parse_dates")
 def parsed_dates(spark: SparkSession, folder: str) -> DataFrame:
     rendered = F.date_format("o_orderdate", "d/M/yyyy")
     spoilt = (
@@ -240,7 +260,7 @@ def parsed_dates(spark: SparkSession, folder: str) -> DataFrame:
     return clean(orders, rules)
 
 
-@query
+@query("round_values")
 def rounded_values(spark: SparkSession, folder: str) -> DataFrame:
     exact_product = F.col("l_quantity").cast("decimal(13,2)") * F.col("l_tax").cast("decimal(3,2)")
     lines = table(spark, folder, "lineitem").select(
@@ -261,13 +281,13 @@ def rounded_values(spark: SparkSession, folder: str) -> DataFrame:
 # --- data quality -----------------------------------------------------------
 
 
-@query
+@query("dedupe_on_key")
 def dedupe_on_key(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     return dedupe(lines, ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("dedupe_preferring_latest_shipment")
 def dedupe_preferring_latest_shipment(spark: SparkSession, folder: str) -> DataFrame:
     """The survivor is the line that ships last: the order is part of the request."""
     lines = table(spark, folder, "lineitem").select(
@@ -279,12 +299,12 @@ def dedupe_preferring_latest_shipment(spark: SparkSession, folder: str) -> DataF
     return dedupe(lines, ["l_orderkey"], prefer=["days_left"])
 
 
-@query
+@query("duplicate_keys")
 def duplicate_key_report(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("duplicate_summary")
 def duplicate_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_summary(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -305,7 +325,7 @@ def _customers_with_some_nations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("fill_missing")
 def filled_missing(spark: SparkSession, folder: str) -> DataFrame:
     filled = fill_missing(
         _customers_with_some_nations(spark, folder), ["c_custkey"], keep_null=["n_regionkey"]
@@ -313,7 +333,7 @@ def filled_missing(spark: SparkSession, folder: str) -> DataFrame:
     return filled.withColumn("n_share", F.col("n_share").cast("double"))
 
 
-@query
+@query("audit_table")
 def table_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit(_customers_with_some_nations(spark, folder), ["c_custkey", "n_name"])
 
@@ -321,7 +341,7 @@ def table_audit(spark: SparkSession, folder: str) -> DataFrame:
 # --- joins ------------------------------------------------------------------
 
 
-@query
+@query("enrich_left_unmatched")
 def enrich_left_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     segment = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
     customers = segment.select(
@@ -343,32 +363,32 @@ def _lines_and_flags(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
     return lines, flags
 
 
-@query
+@query("enrich_left_fanout")
 def enrich_left_fanout(spark: SparkSession, folder: str) -> DataFrame:
     lines, flags = _lines_and_flags(spark, folder)
     return lookup(lines, flags, "l_partkey", ["flag"], on_duplicate="fanout")
 
 
-@query
+@query("enrich_left_unique")
 def enrich_left_unique(spark: SparkSession, folder: str) -> DataFrame:
     lines, flags = _lines_and_flags(spark, folder)
     return lookup(lines, flags, "l_partkey", ["flag"], on_duplicate="unique")
 
 
-@query
+@query("enrich_left_checked")
 def enrich_left_checked(spark: SparkSession, folder: str) -> DataFrame:
     lines, _ = _lines_and_flags(spark, folder)
     parts = table(spark, folder, "part").withColumnRenamed("p_partkey", "l_partkey")
     return lookup(lines, parts, "l_partkey", ["p_brand", "p_size"], on_duplicate="error")
 
 
-@query
+@query("join_growth")
 def fan_out_report(spark: SparkSession, folder: str) -> DataFrame:
     lines, flags = _lines_and_flags(spark, folder)
     return join_growth(lines, flags.where("flag <> 'A'"), "l_partkey")
 
 
-@query
+@query("schema_contract")
 def schema_contract(spark: SparkSession, folder: str) -> DataFrame:
     return contract(
         table(spark, folder, "orders"),
@@ -457,39 +477,91 @@ def _reread(spark: SparkSession, source: SourceSpec, base: str) -> DataFrame:
     return snake_case_columns(rows.drop(BATCH_COLUMN))
 
 
-@query
+@query("csv_roundtrip")
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_folder(spark)
     write_csv(product_rows(spark, folder), source_path(base, PRODUCT_SOURCE))
     return _reread(spark, PRODUCT_SOURCE, base)
 
 
-@query
+@query("json_roundtrip")
 def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_folder(spark)
     write_json_arrays(order_rows(spark, folder), source_path(base, LINE_SOURCE))
     return _reread(spark, LINE_SOURCE, base)
 
 
-@query
+@query("workbook_ingest")
 def workbook_ingest(spark: SparkSession, folder: str) -> DataFrame:
     books = pack_workbooks(customer_rows(spark, folder))
     return snake_case_columns(parse_workbooks(books, declared_schema(CUSTOMER_SOURCE.columns)))
 
 
-@query
+@query("typed_workbook_ingest")
 def typed_workbook_ingest(spark: SparkSession, folder: str) -> DataFrame:
     books = pack_workbooks(product_rows(spark, folder))
     return snake_case_columns(parse_workbooks(books, declared_schema(PRODUCT_SOURCE.columns)))
 
 
+LOADED_AT = datetime(2024, 1, 2, 10, tzinfo=timezone.utc)
+
+
+def _enriched(rows: DataFrame, spec: EnrichSpec, dimensions=None) -> DataFrame:
+    """The enrichment of a single delivery; rows without batches need none picked."""
+    return enrich(rows, replace(spec, batch_column=None), dimensions).drop(PROCESSED_COLUMN)
+
+
+def products_by_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Products that repeat their id in up to three states."""
+    states = table(spark, folder, "lineitem").select(
+        F.concat(F.lit("P"), "l_partkey").alias("Product ID"), F.col("l_returnflag").alias("State")
+    )
+    products = product_rows(spark, folder).drop("State").where(F.col("Category") != "ECONOMY")
+    return lookup(products, states.distinct(), "Product ID", ["State"])
+
+
+def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    delivered = customer_rows(spark, folder).where(F.col("Segment") != "BUILDING")
+    return {
+        "customers": _enriched(delivered, CUSTOMERS),
+        "products": _enriched(products_by_state(spark, folder), PRODUCTS),
+    }
+
+
+@query("enriched_customers")
+def enriched_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return _enriched(customer_rows(spark, folder), CUSTOMERS)
+
+
+@query("enriched_products")
+def enriched_products(spark: SparkSession, folder: str) -> DataFrame:
+    return _enriched(products_by_state(spark, folder), PRODUCTS)
+
+
+@query("enriched_orders_fanout")
+def enriched_orders_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    return _enriched(order_rows(spark, folder), ORDERS, _dimensions(spark, folder))
+
+
+@query("enriched_orders_unique")
+def enriched_orders_unique(spark: SparkSession, folder: str) -> DataFrame:
+    unique = orders_with("unique")
+    return _enriched(order_rows(spark, folder), unique, _dimensions(spark, folder))
+
+
+@query("profit_with_fanout")
+def profit_with_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored aggregate over order lines that a partial product key repeats."""
+    return aggregate(enriched_orders_fanout(spark, folder), PROFIT)
+
+
 def _new_layout(spark: SparkSession) -> Layout:
     base = scratch_folder(spark)
     run = base.rpartition("-")[2]
     return Layout(f"raw_{run}", f"enriched_{run}", f"aggregated_{run}", location=base)
 
 
-@query
+@query("appended_batches")
 def appended_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads kept side by side; the newest is read back by pruning to its batch."""
     layout = _new_layout(spark)
@@ -504,7 +576,7 @@ def appended_batches(spark: SparkSession, folder: str) -> DataFrame:
     return snake_case_columns(latest_batch(stored, BATCH_COLUMN))
 
 
-@query
+@query("mart_end_to_end")
 def mart_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """Files to raw, enriched and aggregated tables, and the stored aggregate back.
 
@@ -513,7 +585,7 @@ def mart_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """
     layout = _new_layout(spark)
     files = f"{layout.location}/files"
-    at = datetime(2024, 1, 2, 10, tzinfo=timezone.utc)
+    at = LOADED_AT
     create_database(spark, layout.raw, layout.location_of(layout.raw))
 
     products = product_rows(spark, folder).where(F.col("Category") != "ECONOMY")
@@ -525,7 +597,7 @@ def mart_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     customers = parse_workbooks(
         pack_workbooks(delivered), declared_schema(CUSTOMER_SOURCE.columns)
     )
-    land(customers.withColumn(BATCH_COLUMN, F.lit(at)), CUSTOMER_SOURCE, layout, at)
+    land(stamp(customers, BATCH_COLUMN, at), CUSTOMER_SOURCE, layout, at)
 
     run_enriched(spark, [CUSTOMERS, PRODUCTS, ORDERS], layout, at)
     run_aggregated(spark, AGGREGATES, layout)
