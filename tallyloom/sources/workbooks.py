@@ -91,6 +91,14 @@ def _row_reader(
                 number = number * 26 + ord(letter.upper()) - 64
             return number - 1
 
+        def number_text(value):
+            """A number as written: no trailing zeros, no digits beyond its precision."""
+            try:
+                return str(int(value))
+            except ValueError:
+                number = float(value)
+            return str(int(number)) if number.is_integer() else repr(number)
+
         def value_of(cell, shared):
             kind = cell.get("t", "n")
             if kind == "inlineStr":
@@ -101,6 +109,8 @@ def _row_reader(
                     value = shared[int(value)]
                 elif kind == "b" and value:
                     value = "True" if value == "1" else "False"
+                elif kind == "n" and value:
+                    value = number_text(value)
             return None if value in empty else value
 
         def sheet_rows(archive):

@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 from tallyloom import SourceSpec
 from tallyloom.retail import CSV_OPTIONS, JSON_OPTIONS
 from tallyloom.sources import declared_schema, parse_workbooks, read_source, source_path
-from workbook import write_workbook
+from workbook import Number, write_workbook
 
 COLUMNS = (("Product ID", "string"), ("Quantity", "int"), ("Price per product", "double"))
 CSV = SourceSpec("products", "csv", "Products", COLUMNS, ("Product ID",), CSV_OPTIONS)
@@ -118,6 +118,21 @@ def test_workbook_cells(spark, folder):
     assert ("#REF!", "True", "1") in map(tuple, parse_workbooks(books, text).collect())
 
 
+def test_workbook_numbers_as_written(spark, folder):
+    numbers = {
+        "1.1000000000000001": "1.1",
+        "1234.0": "1234",
+        "1E3": "1000",
+        "-0.5": "-0.5",
+        "12345678901234567890": "12345678901234567890",
+    }
+    cells = {number: [Number(text)] for number, text in enumerate(numbers, 2)}
+    write_workbook(folder / "b.xlsx", {1: ["h"], **cells})
+    books = spark.read.format("binaryFile").load(str(folder))
+    found = parse_workbooks(books, declared_schema([("h", "string")])).collect()
+    assert [row.h for row in found] == list(numbers.values())
+
+
 def test_workbook_with_absolute_target_and_folder_of_workbooks(spark, folder):
     base = folder / "Customers.xlsx"
     base.mkdir()

@@ -11,6 +11,10 @@ LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
 
 
+class Number(str):
+    """A numeric cell whose text in the file is given exactly."""
+
+
 def letters(place: int) -> str:
     return chr(65 + place)
 
@@ -21,7 +25,7 @@ def cell(place: int, number: int, value, shared: list[str]) -> str:
         return ""
     if isinstance(value, bool):
         return f'<c {where} t="b"><v>{int(value)}</v></c>'
-    if isinstance(value, (int, float)):
+    if isinstance(value, (int, float, Number)):
         return f"<c {where}><v>{value}</v></c>"
     if value.startswith("="):
         return f'<c {where} t="str"><f>A1</f><v>{escape(value[1:])}</v></c>'
