@@ -59,27 +59,28 @@ def _row_reader(
 
         import pandas as pd
 
-        def local(element):
-            return element.tag.rpartition("}")[2]
-
-        def text_of(element):
-            """All text runs below an element, phonetic hints left out."""
-            if local(element) == "t":
-                return element.text or ""
-            return "".join(text_of(child) for child in element if local(child) != "rPh")
+        def text_of(element, space):
+            """The text of a plain or rich string, phonetic hints left out."""
+            parts = []
+            for child in element:
+                if child.tag == space + "t":
+                    parts.append(child.text or "")
+                elif child.tag == space + "r":
+                    parts.append(child.findtext(space + "t", ""))
+            return "".join(parts)
 
         def elements(archive, member, name):
-            """The named elements of a part, each released once it was used."""
+            """The named elements of a part with their namespace, released after use."""
             with archive.open(member) as part:
                 for _, element in ElementTree.iterparse(part):
-                    if local(element) == name:
-                        yield element
+                    if element.tag.endswith("}" + name):
+                        yield element, element.tag[: -len(name)]
                         element.clear()
 
         def first_sheet(archive):
-            sheet = next(elements(archive, "xl/workbook.xml", "sheet"))
+            sheet, _ = next(elements(archive, "xl/workbook.xml", "sheet"))
             wanted = next(value for key, value in sheet.attrib.items() if key.endswith("}id"))
-            for link in elements(archive, "xl/_rels/workbook.xml.rels", "Relationship"):
+            for link, _ in elements(archive, "xl/_rels/workbook.xml.rels", "Relationship"):
                 if link.get("Id") == wanted:
                     target = link.get("Target")
                     return target[1:] if target.startswith("/") else f"xl/{target}"
@@ -99,27 +100,29 @@ def _row_reader(
                 number = float(value)
             return str(int(number)) if number.is_integer() else repr(number)
 
-        def value_of(cell, shared):
+        def value_of(cell, space, shared):
             kind = cell.get("t", "n")
             if kind == "inlineStr":
-                value = text_of(cell)
+                held = cell.find(space + "is")
+                value = "" if held is None else text_of(held, space)
             else:
-                value = next((child.text or "" for child in cell if local(child) == "v"), "")
-                if kind == "s" and value:
+                value = cell.findtext(space + "v", "")
+                if value and kind == "s":
                     value = shared[int(value)]
-                elif kind == "b" and value:
-                    value = "True" if value == "1" else "False"
-                elif kind == "n" and value:
+                elif value and kind == "n":
                     value = number_text(value)
+                elif value and kind == "b":
+                    value = "True" if value == "1" else "False"
             return None if value in empty else value
 
         def sheet_rows(archive):
             """Rows by position; rows that the sheet leaves out come as blank ones."""
             shared = []
             if "xl/sharedStrings.xml" in archive.namelist():
-                shared = [text_of(item) for item in elements(archive, "xl/sharedStrings.xml", "si")]
+                strings = elements(archive, "xl/sharedStrings.xml", "si")
+                shared = [text_of(item, space) for item, space in strings]
             position = 0
-            for row in elements(archive, first_sheet(archive), "row"):
+            for row, space in elements(archive, first_sheet(archive), "row"):
                 number = int(row.get("r", position + 1))
                 for _ in range(number - position - 1):
                     yield {}
@@ -128,7 +131,7 @@ def _row_reader(
                 for cell in row:
                     reference = cell.get("r")
                     place = column_of(reference) if reference else place + 1
-                    value = value_of(cell, shared)
+                    value = value_of(cell, space, shared)
                     if value is not None:
                         cells[place] = value
                 yield cells
