@@ -17,7 +17,15 @@ from tallyloom.plans.layers import (
     LoadReport,
     warn_about_nulls,
 )
-from tallyloom.sinks import append_rows, create_database, discard, publish, stage
+from tallyloom.sinks import (
+    append_rows,
+    create_database,
+    discard,
+    publish,
+    qualified,
+    replace_batch,
+    stage,
+)
 from tallyloom.sources import read_source, source_path
 from tallyloom.sources.files import BATCH_COLUMN
 from tallyloom.specs import SourceSpec
@@ -29,17 +37,13 @@ def land(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> Lo
     The source is parsed once; the audit reads only the key columns of the files
     just written. An overwrite is audited before it is published. An appended
     table is partitioned by load time unless the sink says otherwise, so its
-    audit and any later pick of the newest batch read that batch alone. A load
-    without rows leaves published data as it was, and fails.
+    audit and any later pick of the newest batch read that batch alone; loading
+    a batch again replaces it. A load without rows leaves published data as it
+    was, and fails.
     """
     spark = frame.sparkSession
     if spec.sink.mode == "append":
-        partition_by = spec.sink.partition_by or (BATCH_COLUMN,)
-        target = append_rows(
-            frame, replace(spec.sink, partition_by=partition_by), layout.raw, spec.table
-        )
-        loaded = spark.table(target).where(F.col(BATCH_COLUMN) == F.lit(at))
-        counts = audit(loaded, spec.key).first()
+        counts = audit(_append(frame, spec, layout, at), spec.key).first()
     else:
         staged = stage(frame, spec.sink, layout.raw, spec.table)
         counts = audit(spark.table(staged), spec.key).first()
@@ -53,6 +57,23 @@ def land(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> Lo
     return LoadReport(spec.table, counts.row_count, counts.null_rows)
 
 
+def _append(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> DataFrame:
+    """Add or replace the batch of ``at``; returns the batch as stored."""
+    spark = frame.sparkSession
+    sink = replace(spec.sink, partition_by=spec.sink.partition_by or (BATCH_COLUMN,))
+    target = qualified(layout.raw, spec.table)
+    this_batch = F.col(BATCH_COLUMN) == F.lit(at)
+    if (
+        sink.partition_by[0] == BATCH_COLUMN
+        and spark.catalog.tableExists(target)
+        and not spark.table(target).where(this_batch).isEmpty()
+    ):
+        replace_batch(frame, sink, at, layout.raw, spec.table)
+    else:
+        append_rows(frame, sink, layout.raw, spec.table)
+    return spark.table(target).where(this_batch)
+
+
 def run_raw(
     spark: SparkSession,
     specs: Sequence[SourceSpec],

@@ -15,7 +15,7 @@ from tallyloom.specs import (
     SourceSpec,
 )
 
-# Columns of the source files, their reader options and their keys.
+# Columns of the source files, reader options, and stored columns.
 PRODUCT_COLUMNS = (
     ("Product ID", "string"),
     ("Category", "string"),
@@ -53,6 +53,19 @@ ORDER_COLUMNS = (
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"'}
 JSON_OPTIONS = {"multiLine": "true"}
 DATE_FORMAT = "d/M/yyyy"
+CUSTOMER_CONTRACT = (
+    "customer_id", "customer_name", "email", "phone", "address", "segment",
+    "country", "city", "state", "postal_code", "region",
+)
+PRODUCT_CONTRACT = (
+    "product_id", "category", "sub_category", "product_name", "state", "price_per_product",
+)
+ORDER_CONTRACT = (
+    "row_id", "order_id", "order_date", "order_year", "ship_date", "ship_mode",
+    "customer_id", "product_id", "quantity", "price", "discount", "profit",
+    "customer_name", "country", "category", "sub_category",
+)
+PROFIT_GRAIN = ("order_year", "category", "sub_category", "customer_id", "customer_name")
 
 SOURCES = (
     SourceSpec(
@@ -91,10 +104,7 @@ CUSTOMERS = EnrichSpec(
         phones=("phone",),
         postal_codes=("postal_code",),
     ),
-    columns=(
-        "customer_id", "customer_name", "email", "phone", "address", "segment",
-        "country", "city", "state", "postal_code", "region",
-    ),
+    columns=CUSTOMER_CONTRACT,
 )
 
 PRODUCTS = EnrichSpec(
@@ -102,9 +112,7 @@ PRODUCTS = EnrichSpec(
     source="products",
     key=("product_id", "product_name", "state"),
     batch_column=BATCH_COLUMN,
-    columns=(
-        "product_id", "category", "sub_category", "product_name", "state", "price_per_product",
-    ),
+    columns=PRODUCT_CONTRACT,
 )
 
 ORDERS = EnrichSpec(
@@ -124,11 +132,7 @@ ORDERS = EnrichSpec(
         JoinSpec("products", "product_id", ("category", "sub_category")),
     ),
     critical=("order_id", "customer_id", "product_id"),
-    columns=(
-        "row_id", "order_id", "order_date", "order_year", "ship_date", "ship_mode",
-        "customer_id", "product_id", "quantity", "price", "discount", "profit",
-        "customer_name", "country", "category", "sub_category",
-    ),
+    columns=ORDER_CONTRACT,
 )
 
 ENRICHED = (CUSTOMERS, PRODUCTS, ORDERS)
@@ -136,7 +140,7 @@ ENRICHED = (CUSTOMERS, PRODUCTS, ORDERS)
 PROFIT = AggregateSpec(
     table="profit_by_year_category_customer",
     source="orders",
-    group_by=("order_year", "category", "sub_category", "customer_id", "customer_name"),
+    group_by=PROFIT_GRAIN,
     metrics=(Metric("profit", "sum", scale=2), Metric("order_id", "countDistinct")),
     order_by=("order_year", "category", "sub_category", "customer_name"),
 )

@@ -7,6 +7,7 @@ from tallyloom.sinks.tables import (
     publish,
     qualified,
     register_view,
+    replace_batch,
     stage,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "publish",
     "qualified",
     "register_view",
+    "replace_batch",
     "stage",
 ]

@@ -11,6 +11,7 @@ a retention job removes them.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
@@ -75,3 +76,21 @@ def append_rows(frame: DataFrame, sink: SinkSpec, database: str, table: str) ->
         writer = writer.option("path", f"{root}/{table.lower()}/appended")
     writer.saveAsTable(target)
     return target
+
+
+def replace_batch(
+    frame: DataFrame, sink: SinkSpec, batch: datetime, database: str, table: str
+) -> str:
+    """Put rows in the place of one batch, named by the first partition column."""
+    spark, target = frame.sparkSession, qualified(database, table)
+    batch_column, *finer = sink.partition_by
+    written = batch.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
+    partition = ", ".join(
+        [f"`{batch_column}` = TIMESTAMP'{written}'", *(f"`{name}`" for name in finer)]
+    )
+    stored = [name for name in spark.table(target).columns if name != batch_column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {target} PARTITION ({partition}) SELECT * FROM {{rows}}",
+        rows=frame.select(*(quoted(name) for name in stored)),
+    )
+    return target

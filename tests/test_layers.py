@@ -145,6 +145,10 @@ def test_batches_are_kept_and_only_the_newest_is_used(spark, files, layout, fold
     done = run_enriched(spark, ENRICHED, layout)
     assert [r.rows for r in done] == [2, 3, 2]
 
+    # Loading a batch again replaces that batch and no other.
+    run_raw(spark, sources, files, layout, DAY_2)
+    assert spark.table(qualified(layout.raw, "orders")).count() == 9
+
     newest = latest_batch(spark.table(qualified(layout.raw, "orders")), "ingested_at")
     newest.collect()
     plan = newest._jdf.queryExecution().executedPlan().toString()
@@ -157,6 +161,25 @@ def test_batches_are_kept_and_only_the_newest_is_used(spark, files, layout, fold
     assert latest_batch(spark.table(qualified(layout.raw, "products")), "ingested_at").count() == 4
 
 
+def test_one_batch_of_several_partitions_is_replaced(spark, layout):
+    create_database(spark, layout.raw, layout.location_of(layout.raw))
+    sink = SinkSpec(mode="append", partition_by=("ingested_at", "State"))
+    spec = replace(SOURCES[0], table="places", key=("Product ID",), sink=sink)
+    rows = [("P1", "NY"), ("P2", "CA")]
+
+    def load(at, content):
+        frame = spark.createDataFrame(content, "`Product ID` string, State string")
+        return land(frame.withColumn("ingested_at", F.lit(at)), spec, layout, at)
+
+    odd = DAY_2.replace(microsecond=123456)
+    assert [load(at, rows).rows for at in (DAY_1, DAY_2, odd)] == [2, 2, 2]
+    assert load(odd, [("P3", "NY")]).rows == 1
+    assert load(DAY_1, [("P4", "TX")]).rows == 1
+    assert stored(spark, layout.raw, "places", "Product ID", "State") == [
+        ("P1", "NY"), ("P2", "CA"), ("P3", "NY"), ("P4", "TX"),
+    ]
+
+
 def test_empty_source_does_not_replace_good_data(spark, files, layout, folder):
     run_raw(spark, SOURCES, files, layout)
     (folder / "Customers.xlsx").unlink()

@@ -165,6 +165,8 @@ def test_fill_missing_by_type(spark):
     assert (float(filled.dec), filled.day) == (0.0, None)
     assert fill_missing(frame, ["id"], keep_null=["s"]).first().s is None
     assert fill_missing(frame.select("id"), ["id"]).first() == (None,)
+    not_a_number = spark.createDataFrame([("k", float("nan"))], "id string, v double")
+    assert fill_missing(not_a_number, ["id"]).first() == ("k", 0.0)
 
 
 def test_audit_counts_in_one_row(spark):
