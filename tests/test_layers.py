@@ -134,6 +134,11 @@ def test_files_to_reports(spark, files, layout, caplog):
         run_enriched(spark, [orders_with("error")], layout)
     assert spark.table(qualified(layout.enriched, "orders")).count() == 5
 
+    by_year = replace(ORDERS, sink=SinkSpec(partition_by=("order_year",), rebalance=True))
+    (rebalanced,) = run_enriched(spark, [by_year], layout)
+    assert (rebalanced.rows, rebalanced.null_rows) == (6, 1)
+    assert spark.table(qualified(layout.enriched, "orders")).where("order_year = 2017").count() == 3
+
 
 def test_batches_are_kept_and_only_the_newest_is_used(spark, files, layout, folder):
     sources = appended()

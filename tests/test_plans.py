@@ -9,7 +9,8 @@ from checks.compare import connect, difference
 from checks.oracle import ORACLE_SQL
 from checks.queries import QUERIES
 from checks.star import profit_by_grain, table
-from tallyloom.operators import dedupe, join_growth, latest_batch, lookup
+from tallyloom import AggregateSpec, Metric
+from tallyloom.operators import aggregate, dedupe, join_growth, latest_batch, lookup
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -85,6 +86,31 @@ def test_hot_key_is_split_in_the_join(spark, settings, hot):
     assert plain == hot.agg(F.count("*"), F.count("*"), F.sum("l_quantity")).first()
 
 
+def test_hot_order_is_split_though_its_partitioning_is_reused(spark, settings, hot):
+    """The distinct count would reuse the join's partitioning; a split costs it one shuffle."""
+    lines = hot.withColumn(
+        "order_id", F.when(F.col("l_quantity") <= 17, F.lit(5).cast("bigint")).otherwise(F.col("l_orderkey"))
+    )
+    orders = table(spark, "/root/testdata/sf0.01", "orders").select(
+        F.col("o_orderkey").alias("order_id"), "o_orderstatus"
+    )
+    spec = AggregateSpec(
+        "t", "s", ("o_orderstatus",), (Metric("l_quantity", "sum", 2), Metric("order_id", "countDistinct"))
+    )
+    plain = sorted(aggregate(lookup(lines, orders, "order_id", ["o_orderstatus"]), spec).collect())
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__maxShuffledHashJoinLocalMapThreshold="0",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="40k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    counted = aggregate(lookup(lines, orders, "order_id", ["o_orderstatus"]), spec)
+    assert "skew=true" in final_plan(counted)
+    assert sorted(counted.collect()) == plain
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark, hot):
     """Each map task sends one row for the hot key, however many it holds."""
     kept = dedupe(hot.withColumn("product_id", F.col("product_id") * 0), ["product_id"])
