@@ -2,11 +2,12 @@
 
 from tallyloom.plans.aggregated import run_aggregated
 from tallyloom.plans.enriched import complete, enrich, prepare, run_enriched
-from tallyloom.plans.layers import LayerError, Layout, LoadReport
+from tallyloom.plans.layers import EmptyTableError, LayerError, Layout, LoadReport
 from tallyloom.plans.raw import land, run_raw
 from tallyloom.plans.reporting import report_tables
 
 __all__ = [
+    "EmptyTableError",
     "LayerError",
     "Layout",
     "LoadReport",
