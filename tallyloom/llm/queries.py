@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe_codec import digests
 from tallyloom.llm.exact_dedup import exact_duplicates
 from tallyloom.llm.packing import packed
 from tallyloom.llm.simhash import simhash_groups
+from tallyloom.llm.substring_dedup import without_repeats
 from tallyloom.llm.token_count import token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -42,10 +44,21 @@ def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return digests(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    marked, names = without_repeats(_table(spark, folder, "documents"), window=20)
+    return marked.select(
+        "doc_id",
+        F.col(names["n_words"]).alias("n_words"),
+        F.col(names["n_removed"]).alias("n_removed"),
+        F.sha2(F.encode(names["kept"], "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_simhash": op3_simhash,
     "op5_token_count": op5_token_count,
     "op7_packing": op7_packing,
     "op8_bpe_codec": op8_bpe_codec,
+    "op9_substring_dedup": op9_substring_dedup,
 }
