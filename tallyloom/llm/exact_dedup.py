@@ -105,7 +105,9 @@ def exact_duplicates(
     gives an empty result. Other columns are not read.
     """
     narrow = documents.select(
-        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")
+        F.col(id_column).alias("doc_id"),
+        F.col(text_column).alias("text"),
+        F.lower(F.hex(sha256(F.coalesce(F.col(text_column), F.lit(""))))).alias("text_sha256"),
     )
     marked, names = with_classes(narrow, **options)
     return marked.select(
@@ -113,7 +115,7 @@ def exact_duplicates(
         F.col(names["keep_id"]).alias("keep_id"),
         F.col(names["group_size"]).alias("group_size"),
         F.col("doc_id").eqNullSafe(F.col(names["keep_id"])).alias("kept"),
-        F.lower(F.hex(sha256(F.coalesce(F.col("text"), F.lit(""))))).alias("text_sha256"),
+        "text_sha256",
     )
 
 
