@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe_codec import digests
+from tallyloom.llm.embedding_dedup import near_vectors
 from tallyloom.llm.exact_dedup import exact_duplicates
 from tallyloom.llm.packing import packed
 from tallyloom.llm.simhash import simhash_groups
@@ -26,6 +27,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"), threshold=0.98)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(_table(spark, folder, "documents"), shingle=3, max_distance=3)
 
@@ -56,6 +61,7 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
     "op5_token_count": op5_token_count,
     "op7_packing": op7_packing,

@@ -38,7 +38,8 @@ def stored(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     ensure_checkpoints(spark)
     with _shuffles_dropped(spark):
-        return frame.checkpoint()
+        # The setting counts for plans that are made while it holds.
+        return frame.select("*").checkpoint()
 
 
 def fresh(frame: DataFrame, *names: str) -> list[str]:
