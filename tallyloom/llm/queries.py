@@ -15,8 +15,16 @@ from tallyloom.llm.packing import packed
 from tallyloom.llm.simhash import simhash_groups
 from tallyloom.llm.substring_dedup import without_repeats
 from tallyloom.llm.token_count import token_counts
+from tallyloom.llm.url_filter import ALLOW, BLOCK, UrlRule, judged_urls
 
 VOCABULARY = "byte_bpe_50k.json"
+URL_RULES = [
+    UrlRule("org", "/", ALLOW),
+    UrlRule("example.org", "/es/", BLOCK),
+    UrlRule("example.org", "/en/1", BLOCK),
+    UrlRule("com", "/fr/", ALLOW),
+    UrlRule("com", "/de/", BLOCK),
+]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +43,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(_table(spark, folder, "documents"), shingle=3, max_distance=3)
 
 
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judged_urls(_table(spark, folder, "pages"), URL_RULES)
+
+
 def op5_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -63,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
+    "op4_url_filter": op4_url_filter,
     "op5_token_count": op5_token_count,
     "op7_packing": op7_packing,
     "op8_bpe_codec": op8_bpe_codec,
