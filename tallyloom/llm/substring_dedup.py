@@ -19,7 +19,9 @@ ANCHOR = 8
 #: Segments that a shard holds on average.
 SHARD = 20_000
 #: An anchor with more segments than this has its windows dealt one by one.
-COMMON = 20_000
+COMMON = 50_000
+#: Windows that a segment holds at most.
+RUN = 1_000
 #: Words of a very long text whose anchors are found at a time.
 BLOCK = 1_000_000
 
@@ -40,19 +42,28 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 def anchors(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first window, windows) of each run of windows with the same anchor.
 
-    A window's anchor is, of its sequences of ``anchor`` words, the one with the
-    smallest hash, and the leftmost of equal ones. It depends on the window's words
-    only, so equal windows have equal anchors.
+    A window's anchor is the smallest hash of its sequences of ``anchor`` words. It
+    depends on the window's words only, so equal windows have equal anchors.
     """
     hashes = np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
     grams = hashes[: len(words) - anchor + 1].copy()
     for i in range(1, anchor):
         grams = grams * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(words) - anchor + 1 + i]
-    grams = _mixed(grams)
-    wide = np.lib.stride_tricks.sliding_window_view(grams, window - anchor + 1)
-    chosen = np.arange(len(wide)) + wide.argmin(axis=1)
-    first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-    return grams[chosen[first]].view(np.int64), first, np.diff(np.append(first, len(chosen)))
+    least, width, goal = _mixed(grams), 1, window - anchor + 1
+    while width < goal:
+        step = min(width, goal - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    return least[first].view(np.int64), first, np.diff(np.append(first, len(least)))
+
+
+def _cut(found: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of at most ``RUN`` windows; a repeated word makes runs as long as its text."""
+    times = -(-count // RUN)
+    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    first = np.repeat(first, times) + step * RUN
+    return np.repeat(found, times), first, np.minimum(np.repeat(count, times) - step * RUN, RUN)
 
 
 def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -65,6 +76,7 @@ def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
                 words = words_of(text.as_py())
                 for at in range(0, len(words) - window + 1, BLOCK):
                     found, first, count = anchors(words[at : at + BLOCK + window - 1], window, anchor)
+                    found, first, count = _cut(found, first, count)
                     parts.append((found, np.full(len(found), key), first + at, count))
                 if sum(len(part[0]) for part in parts) > 200_000:
                     yield _batch(parts)
