@@ -12,9 +12,11 @@ from tallyloom.llm.bpe_codec import digests
 from tallyloom.llm.embedding_dedup import near_vectors
 from tallyloom.llm.exact_dedup import exact_duplicates
 from tallyloom.llm.packing import packed
+from tallyloom.llm.quality import quality_scores
 from tallyloom.llm.simhash import simhash_groups
 from tallyloom.llm.substring_dedup import without_repeats
 from tallyloom.llm.token_count import token_counts
+from tallyloom.llm.toxicity import toxicity_scores
 from tallyloom.llm.url_filter import ALLOW, BLOCK, UrlRule, judged_urls
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -51,6 +53,12 @@ def op5_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels"), threshold=0.3
+    )
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(
         _table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), capacity=2048, end_id=1
@@ -71,13 +79,21 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels"), threshold=0.5
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
     "op4_url_filter": op4_url_filter,
     "op5_token_count": op5_token_count,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_toxicity": op10_toxicity,
 }
