@@ -63,19 +63,32 @@ def _part(fp: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def segments_for(count: int, max_distance: int) -> int:
+    """Segments of about as many bits as a number up to ``count`` has.
+
+    A bucket of a segment then holds about one fingerprint. Links are the same for
+    any number of segments.
+    """
+    return max(2, min(max_distance + 1, BITS // max(1, count.bit_length())))
+
+
 def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFrame:
     """(a, b), a < b: all pairs of different fingerprints ``fp`` within the distance.
 
-    Two fingerprints within the distance differ in some segment by at most
-    ``max_distance // segments`` bits. Every fingerprint is filed under its
-    segments' values, and looks up the ball of that radius around each of them.
-    Of a pair, only the side whose changed value is larger looks up the other.
-    The complete distance is tested inside the join, so only links leave it.
+    With q, r = divmod(max_distance, segments), a pair within the distance differs by
+    at most q bits in one of the first r + 1 segments, or by at most q - 1 in one of
+    the others. Every fingerprint is filed under its segments' values, and looks up
+    the ball of that radius around each of them. Of a pair, only the side whose
+    changed value is larger looks up the other. The complete distance is tested
+    inside the join, so only links leave it.
     """
-    radius = max_distance // segments
+    quotient, remainder = divmod(max_distance, segments)
     filed, probes = [], []
     fp = F.col("fp")
     for number, (shift, width) in enumerate(_segments(segments)):
+        radius = quotient if number <= remainder else quotient - 1
+        if radius < 0:
+            continue
         masks = [
             sum(1 << bit for bit in flips)
             for size in range(radius + 1)
@@ -98,8 +111,9 @@ def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> Da
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _components(nodes: DataFrame, max_distance: int, segments: int) -> DataFrame:
+def _components(nodes: DataFrame, max_distance: int, segments: int | None) -> DataFrame:
     """(fp, component_id) from (fp, first): ``first`` is the smallest id of a fingerprint."""
+    segments = segments or segments_for(nodes.count(), max_distance)
     linked = connected_components(near_pairs(nodes.select("fp"), max_distance, segments))
     labelled = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("label")
@@ -114,7 +128,7 @@ def simhash_groups(
     text_column: str = "text",
     shingle: int = 3,
     max_distance: int = 3,
-    segments: int = 2,
+    segments: int | None = None,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document.
 
@@ -140,7 +154,7 @@ def keep_one_of_group(
     text_column: str = "text",
     shingle: int = 3,
     max_distance: int = 3,
-    segments: int = 2,
+    segments: int | None = None,
 ) -> DataFrame:
     """The documents without all of a near-duplicate group but the one with the smallest id.
 

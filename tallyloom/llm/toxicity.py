@@ -28,7 +28,7 @@ LOOKALIKES = {
 #: Signs that may stand between the letters of a word.
 SEPARATORS = "._-*~'`,:;/\\#^​‌‍­"
 #: Log costs of the channel: a sign for a letter, a dropped separator, a dropped or kept sign, a repetition.
-SUBSTITUTED, SEPARATED, DROPPED, REPEATED = -1.0, -0.3, -6.0, -1.0
+SUBSTITUTED, SEPARATED, DROPPED, REPEATED = -1.0, -0.3, -12.0, -2.5
 _EDGES = ".,;:!?\"'()[]{}*#%&$-_|+<>=~`"
 _SPACED = re.compile(r"(?<!\S)\S(?:[ ]\S){3,}(?!\S)")
 
@@ -116,7 +116,7 @@ def _signature(text: str) -> int:
 
 
 def lexicon(
-    sample: DataFrame, model: CharModel, least: int = 4, doubt: float = 1.0
+    sample: DataFrame, model: CharModel, least: int = 4, doubt: float = 2.0
 ) -> dict[str, float]:
     """The log odds of features that mark label 1, from rows (text, label).
 
