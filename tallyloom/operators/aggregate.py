@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import exact, round_half_up
+from tallyloom.functions import exact, inexact, total
 from tallyloom.operators.columns import quoted
 from tallyloom.specs import AggregateSpec, Metric
 
@@ -25,12 +25,14 @@ def _alias(metric: Metric) -> str:
     return metric.column + (COUNT_SUFFIX if metric.function == COUNT else DISTINCT_SUFFIX)
 
 
-def _total(value: Column) -> Column:
-    return round_half_up(F.sum(value), TOTAL_DIGITS).cast("double")
+def _parts(frame: DataFrame, name: str, scale: int | None) -> tuple[Column, Column]:
+    """The exact and the inexact part of a summed column."""
+    kind = frame.schema[name].dataType
+    return exact(quoted(name), kind, scale), inexact(quoted(name), kind, scale)
 
 
-def _addend(frame: DataFrame, metric: Metric) -> Column:
-    return exact(quoted(metric.column), frame.schema[metric.column].dataType, metric.scale)
+def _total(parts: tuple[Column, Column]) -> Column:
+    return total(*map(F.sum, parts), TOTAL_DIGITS)
 
 
 def _check(metrics: Sequence[Metric]) -> None:
@@ -63,7 +65,7 @@ def aggregate(frame: DataFrame, spec: AggregateSpec, ordered: bool = True) -> Da
 def _direct(frame: DataFrame, spec: AggregateSpec) -> DataFrame:
     def measure(metric: Metric) -> Column:
         if metric.function == SUM:
-            return _total(_addend(frame, metric))
+            return _total(_parts(frame, metric.column, metric.scale))
         if metric.function == COUNT:
             return F.count(quoted(metric.column))
         return F.count_distinct(quoted(metric.column))
@@ -84,8 +86,10 @@ def _through_pairs(frame: DataFrame, spec: AggregateSpec, counted: str) -> DataF
     for place, metric in enumerate(spec.metrics):
         partial = f"_m{place}"
         if metric.function == SUM:
-            per_pair.append(F.sum(_addend(frame, metric)).alias(partial))
-            measure = _total(F.col(partial))
+            rest = f"_r{place}"
+            for part, name in zip(_parts(frame, metric.column, metric.scale), (partial, rest)):
+                per_pair.append(F.sum(part).alias(name))
+            measure = _total((F.col(partial), F.col(rest)))
         elif metric.function == COUNT:
             per_pair.append(F.count(quoted(metric.column)).alias(partial))
             measure = F.coalesce(F.sum(partial), F.lit(0))
@@ -118,6 +122,5 @@ def reaggregate(frame: DataFrame, group_by: Sequence[str], measures: Sequence[st
 def resum(frame: DataFrame, name: str) -> Column:
     """The sum of one stored total or count."""
     if name.startswith(TOTAL_PREFIX):
-        stored = exact(quoted(name), frame.schema[name].dataType, TOTAL_DIGITS)
-        return _total(stored).alias(name)
+        return _total(_parts(frame, name, TOTAL_DIGITS)).alias(name)
     return F.sum(quoted(name)).alias(name)

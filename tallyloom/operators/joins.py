@@ -2,14 +2,17 @@
 
 No join carries a hint. Spark broadcasts a dimension only when its measured
 size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles
-both sides; adaptive execution then splits the partitions of a hot key.
+both sides; adaptive execution then splits the partitions of a hot key. It can
+do so only for rows that are exchanged for the join, so a dimension that already
+lies partitioned by the key, because it was grouped or joined by it, is exchanged
+once more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import quoted
@@ -17,22 +20,30 @@ from tallyloom.operators.quality import dedupe
 from tallyloom.specs import JoinSpec
 
 
-def _fan_out(dimension: DataFrame, on: str) -> DataFrame:
+def key_columns(on: str | Sequence[str]) -> list[str]:
+    return [on] if isinstance(on, str) else list(on)
+
+
+def _fan_out(dimension: DataFrame, on: list[str]) -> DataFrame:
     return dimension
 
 
-def _unique(dimension: DataFrame, on: str) -> DataFrame:
-    return dedupe(dimension, [on])
+def _unique(dimension: DataFrame, on: list[str]) -> DataFrame:
+    return dedupe(dimension, on)
 
 
-def _error(needed: DataFrame, on: str) -> DataFrame:
+def _error(needed: DataFrame, on: list[str]) -> DataFrame:
     """One row per key, or a failure naming a repeated key once the plan runs."""
-    per_key = needed.groupBy(quoted(on)).agg(
+    keys = [quoted(name) for name in on]
+    per_key = needed.groupBy(*keys).agg(
         F.min(F.struct(*(quoted(name) for name in needed.columns))).alias("_row"),
         F.count(F.lit(1)).alias("_copies"),
     )
     repeated = F.raise_error(
-        F.concat(F.lit(f"dimension key {on} occurs more than once: "), quoted(on).cast("string"))
+        F.concat(
+            F.lit(f"dimension key {', '.join(on)} occurs more than once: "),
+            F.concat_ws(", ", *(key.cast("string") for key in keys)),
+        )
     )
     checked = F.when(F.col("_copies") == 1, F.col("_row")).otherwise(repeated)
     return per_key.select(checked.alias("_row")).select("_row.*")
@@ -41,24 +52,40 @@ def _error(needed: DataFrame, on: str) -> DataFrame:
 _DUPLICATE_RULES = {"fanout": _fan_out, "unique": _unique, "error": _error}
 
 
+def _exchanged(name: str) -> Column:
+    """The column's own value in a form whose partitioning is not known to be the column's."""
+    return F.element_at(F.array(quoted(name)), 1).alias(name)
+
+
 def lookup(
     frame: DataFrame,
     dimension: DataFrame,
-    on: str,
+    on: str | Sequence[str],
     columns: Sequence[str],
     on_duplicate: str = "fanout",
+    colocated: bool = False,
 ) -> DataFrame:
-    """Add ``columns`` of ``dimension`` to every row of ``frame``, null where unmatched."""
+    """Add ``columns`` of ``dimension`` to every row of ``frame``, null where unmatched.
+
+    ``on`` is one key column or several; a row with a null in any matches nothing.
+    ``colocated`` joins where the dimension lies, as for tables bucketed by the key;
+    it saves the exchanges but leaves a hot key in one task.
+    """
     if on_duplicate not in _DUPLICATE_RULES:
         raise ValueError(
             f"on_duplicate must be one of {sorted(_DUPLICATE_RULES)}, not {on_duplicate!r}"
         )
+    keys = key_columns(on)
     present = sorted(set(columns) & set(frame.columns))
     if present:
-        raise ValueError(f"columns already present before the join on {on}: {present}")
-    needed = dimension.select(quoted(on), *(quoted(name) for name in columns))
-    keyed = _DUPLICATE_RULES[on_duplicate](needed.where(quoted(on).isNotNull()), on)
-    return frame.join(keyed, on, "left")
+        raise ValueError(f"columns already present before the join on {', '.join(keys)}: {present}")
+    needed = dimension.select(*map(quoted, keys), *map(quoted, columns))
+    for key in keys:
+        needed = needed.where(quoted(key).isNotNull())
+    keyed = _DUPLICATE_RULES[on_duplicate](needed, keys)
+    if not colocated:
+        keyed = keyed.select(*map(_exchanged, keys), *map(quoted, columns))
+    return frame.join(keyed, keys, "left")
 
 
 def enrich_left(
@@ -66,5 +93,7 @@ def enrich_left(
 ) -> DataFrame:
     """The left joins of a spec, in order."""
     for join in joins:
-        frame = lookup(frame, dimensions[join.table], join.on, join.columns, join.on_duplicate)
+        frame = lookup(
+            frame, dimensions[join.table], join.on, join.columns, join.on_duplicate, join.colocated
+        )
     return frame

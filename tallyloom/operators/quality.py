@@ -79,19 +79,20 @@ def duplicate_summary(frame: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def join_growth(frame: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
+def join_growth(
+    frame: DataFrame, dimension: DataFrame, on: str | Sequence[str]
+) -> DataFrame:
     """One row: fact rows before and after a left join, without running the join.
 
     Both sides are first reduced to one count per key, so a key that is hot on
     both sides costs one multiplication, not the product of its rows.
     """
-    facts = frame.groupBy(quoted(on)).agg(F.count(F.lit(1)).alias("facts"))
-    matches = (
-        dimension.where(quoted(on).isNotNull())
-        .groupBy(quoted(on))
-        .agg(F.count(F.lit(1)).alias("matches"))
-    )
-    joined = facts.join(matches, on, "left")
+    keys = [on] if isinstance(on, str) else list(on)
+    facts = frame.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("facts"))
+    for key in keys:
+        dimension = dimension.where(quoted(key).isNotNull())
+    matches = dimension.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("matches"))
+    joined = facts.join(matches, keys, "left")
     after = F.col("facts") * F.coalesce("matches", F.lit(1))
     return joined.agg(
         F.coalesce(F.sum("facts"), F.lit(0)).alias("rows_before"),

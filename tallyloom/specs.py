@@ -18,6 +18,7 @@ class SinkSpec:
     ``mode`` is ``overwrite`` (a new version replaces the old one) or ``append``
     (each run adds rows). ``rebalance`` lets adaptive execution even out file
     sizes before the write, splitting a partition that holds most of the rows.
+    ``sort_by`` orders the rows within each file, without a global sort.
     """
 
     mode: str = "overwrite"
@@ -27,6 +28,7 @@ class SinkSpec:
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
     rebalance: bool = False
+    sort_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.mode not in ("overwrite", "append"):
@@ -65,17 +67,19 @@ class CleanRules:
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """One left join: ``columns`` of ``table`` looked up by ``on``.
+    """One left join: ``columns`` of ``table`` looked up by ``on``, one column or several.
 
     ``on_duplicate`` says what to do where the dimension repeats a key:
     ``fanout`` repeats the fact row, ``unique`` keeps one dimension row per key,
-    ``error`` fails the job.
+    ``error`` fails the job. ``colocated`` keeps the dimension's own partitioning,
+    see ``lookup``.
     """
 
     table: str
-    on: str
+    on: str | tuple[str, ...]
     columns: tuple[str, ...]
     on_duplicate: str = "fanout"
+    colocated: bool = False
 
 
 @dataclass(frozen=True)
