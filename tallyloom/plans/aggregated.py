@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from tallyloom.operators import aggregate
 from tallyloom.plans.layers import LayerError, Layout, LoadReport
-from tallyloom.sinks import create_database, publish, qualified, stage
+from tallyloom.sinks import add_staged, create_database, publish, qualified, stage
 from tallyloom.specs import AggregateSpec
 
 
@@ -17,8 +18,10 @@ def run_aggregated(
 ) -> list[LoadReport]:
     """Rebuild every aggregate in full; failures are collected and raised at the end.
 
-    Rows are stored unsorted: reading a table back promises no order, so reports
-    sort the little they show instead of the whole aggregate being sorted here.
+    The rows of each file are sorted by the spec's order, so that files can be
+    skipped by their ranges. There is no global sort: reading a table back promises
+    no order, and reports sort the little they show. An appending sink adds this
+    run's rows to those stored.
     """
     create_database(spark, layout.aggregated, layout.location_of(layout.aggregated))
     done: list[LoadReport] = []
@@ -27,9 +30,15 @@ def run_aggregated(
         try:
             source = spark.table(qualified(layout.enriched, spec.source))
             result = aggregate(source, spec, ordered=False)
-            staged = stage(result, spec.sink, layout.aggregated, spec.table)
+            sink = spec.sink
+            if spec.order_by and not sink.sort_by:
+                sink = replace(sink, sort_by=spec.order_by)
+            staged = stage(result, sink, layout.aggregated, spec.table)
             rows = spark.table(staged).count()
-            publish(spark, staged, layout.aggregated, spec.table)
+            if sink.mode == "append":
+                add_staged(spark, staged, sink, layout.aggregated, spec.table)
+            else:
+                publish(spark, staged, layout.aggregated, spec.table)
             done.append(LoadReport(spec.table, rows, 0))
         except Exception as error:
             failed[spec.table] = error

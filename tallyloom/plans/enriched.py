@@ -32,7 +32,7 @@ from tallyloom.plans.layers import (
     LoadReport,
     warn_about_nulls,
 )
-from tallyloom.sinks import create_database, discard, publish, qualified, stage
+from tallyloom.sinks import add_staged, create_database, discard, publish, qualified, stage
 from tallyloom.specs import EnrichSpec
 
 # Fixed value: the column that records when a row was processed.
@@ -73,7 +73,11 @@ def enrich(
 def load_enriched(
     spark: SparkSession, spec: EnrichSpec, layout: Layout, at: datetime | None = None
 ) -> LoadReport:
-    """Run one enrichment: a single job writes the table and counts its nulls."""
+    """Run one enrichment: a single job writes the table and counts its nulls.
+
+    An appending sink adds the rows of this run to those stored; the report is
+    about this run.
+    """
     source = spark.table(qualified(layout.raw, spec.source))
     dimensions = {
         join.table: spark.table(qualified(layout.enriched, join.table)) for join in spec.joins
@@ -96,7 +100,10 @@ def load_enriched(
         # A stage repeated after a lost executor reports its rows twice. The
         # stored rows are right in any case; count the nulls again.
         counts = audit(prepared, critical).first().asDict()
-    publish(spark, staged, layout.enriched, spec.table)
+    if spec.sink.mode == "append":
+        add_staged(spark, staged, spec.sink, layout.enriched, spec.table)
+    else:
+        publish(spark, staged, layout.enriched, spec.table)
     warn_about_nulls(spec.table, critical, counts["null_rows"])
 
     duplicates = fan_out = None

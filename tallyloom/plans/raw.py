@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators import audit
+from tallyloom.operators import audit, quoted
 from tallyloom.plans.layers import (
     EmptyTableError,
     LayerError,
@@ -18,7 +18,7 @@ from tallyloom.plans.layers import (
     warn_about_nulls,
 )
 from tallyloom.sinks import (
-    append_rows,
+    add_staged,
     create_database,
     discard,
     publish,
@@ -28,50 +28,57 @@ from tallyloom.sinks import (
 )
 from tallyloom.sources import read_source, source_path
 from tallyloom.sources.files import BATCH_COLUMN
-from tallyloom.specs import SourceSpec
+from tallyloom.specs import SinkSpec, SourceSpec
 
 
 def land(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> LoadReport:
     """Store rows stamped with the load time ``at`` and report on them.
 
-    The source is parsed once; the audit reads only the key columns of the files
-    just written. An overwrite is audited before it is published. An appended
-    table is partitioned by load time unless the sink says otherwise, so its
-    audit and any later pick of the newest batch read that batch alone; loading
-    a batch again replaces it. A load without rows leaves published data as it
-    was, and fails.
+    The source is parsed once, into a staged version. The audit reads only the key
+    columns of the files just written, and no row is visible before it. An appended
+    table is partitioned by load time unless the sink says otherwise, so any later
+    pick of the newest batch reads that batch alone. Loading a batch again replaces
+    it under any partitioning. A load without rows leaves published data as it was,
+    and fails.
     """
     spark = frame.sparkSession
-    if spec.sink.mode == "append":
-        counts = audit(_append(frame, spec, layout, at), spec.key).first()
-    else:
-        staged = stage(frame, spec.sink, layout.raw, spec.table)
-        counts = audit(spark.table(staged), spec.key).first()
-        if counts.row_count:
-            publish(spark, staged, layout.raw, spec.table)
-        else:
-            discard(spark, staged)
+    sink = spec.sink
+    if sink.mode == "append":
+        sink = replace(sink, partition_by=sink.partition_by or (BATCH_COLUMN,))
+    staged = stage(frame, sink, layout.raw, spec.table)
+    counts = audit(spark.table(staged), spec.key).first()
     if not counts.row_count:
+        discard(spark, staged)
         raise EmptyTableError(spec.table)
+    if sink.mode == "append":
+        _add_batch(staged, sink, spec.table, layout, at)
+    else:
+        publish(spark, staged, layout.raw, spec.table)
     warn_about_nulls(spec.table, spec.key, counts.null_rows)
     return LoadReport(spec.table, counts.row_count, counts.null_rows)
 
 
-def _append(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> DataFrame:
-    """Add or replace the batch of ``at``; returns the batch as stored."""
-    spark = frame.sparkSession
-    sink = replace(spec.sink, partition_by=spec.sink.partition_by or (BATCH_COLUMN,))
-    target = qualified(layout.raw, spec.table)
+def _add_batch(staged: str, sink: SinkSpec, table: str, layout: Layout, at: datetime) -> None:
+    """Add the staged batch of ``at``, or put it in the place of the same batch.
+
+    Where load time is the first partition column, a batch is replaced alone. Under
+    another layout the table is written anew with the other batches.
+    """
+    spark = SparkSession.active()
+    target = qualified(layout.raw, table)
     this_batch = F.col(BATCH_COLUMN) == F.lit(at)
-    if (
-        sink.partition_by[0] == BATCH_COLUMN
-        and spark.catalog.tableExists(target)
-        and not spark.table(target).where(this_batch).isEmpty()
-    ):
-        replace_batch(frame, sink, at, layout.raw, spec.table)
+    known = spark.catalog.tableExists(target)
+    if not known or spark.table(target).where(this_batch).isEmpty():
+        add_staged(spark, staged, sink, layout.raw, table)
+    elif sink.partition_by[0] == BATCH_COLUMN:
+        replace_batch(spark.table(staged), sink, at, layout.raw, table)
+        discard(spark, staged)
     else:
-        append_rows(frame, sink, layout.raw, spec.table)
-    return spark.table(target).where(this_batch)
+        stored = spark.table(target)
+        others = stored.where(~F.coalesce(this_batch, F.lit(False)))
+        rows = others.unionByName(spark.table(staged).select(*map(quoted, stored.columns)))
+        publish(spark, stage(rows, sink, layout.raw, table), layout.raw, table)
+        discard(spark, staged)
 
 
 def run_raw(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,12 +43,10 @@ def build_session(
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder that all executors can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master may do without
-    that setting; a cluster has no other folder that survives an executor.
+    It lies under ``spark.checkpoint.dir``, which must be set under any master: no
+    other folder is known to survive an executor.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/tallyloom-{uuid.uuid4().hex}"

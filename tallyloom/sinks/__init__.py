@@ -1,22 +1,28 @@
 """Table sinks that publish a result only once it was checked."""
 
 from tallyloom.sinks.tables import (
+    add_staged,
     append_rows,
     create_database,
     discard,
+    expire_versions,
     publish,
     qualified,
+    recover,
     register_view,
     replace_batch,
     stage,
 )
 
 __all__ = [
+    "add_staged",
     "append_rows",
     "create_database",
     "discard",
+    "expire_versions",
     "publish",
     "qualified",
+    "recover",
     "register_view",
     "replace_batch",
     "stage",

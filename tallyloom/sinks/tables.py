@@ -1,11 +1,13 @@
 """Writing, checking and publishing tables.
 
 An overwrite goes to a new folder under the database's own location and is
-registered under a staging name. Publishing drops the old entry and renames the
-new one. Both are catalog operations on external tables: no data file moves or
-is copied, whatever the size, running readers keep the files they opened, and a
-plan may overwrite a table that it reads. Folders of earlier versions stay until
-a retention job removes them.
+registered under a staging name. Publishing points the table's entry at the new
+folder where schema and layout stay the same; else it renames the old entry
+aside, the new one in, and drops the old one. These are catalog operations on
+external tables: no data file moves or is copied, whatever the size, running
+readers keep the files they opened, and a plan may overwrite a table that it
+reads. ``recover`` puts back a table whose publishing broke off between the
+renames. Folders of earlier versions stay until ``expire_versions``.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ def register_view(frame: DataFrame, name: str) -> None:
 def _writer(frame: DataFrame, sink: SinkSpec) -> DataFrameWriter:
     if sink.rebalance:
         frame = frame.hint("rebalance", *(quoted(name) for name in sink.partition_by))
+    if sink.sort_by and not sink.bucket_by:
+        frame = frame.sortWithinPartitions(*map(quoted, (*sink.partition_by, *sink.sort_by)))
     writer = frame.write.format(sink.format).options(**sink.options)
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
@@ -54,11 +58,97 @@ def stage(frame: DataFrame, sink: SinkSpec, database: str, table: str) -> str:
     return staged
 
 
+ASIDE = "__replaced"
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says of a table: its columns by place, and its layout by name."""
+    found: dict[str, str] = {}
+    for place, row in enumerate(spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()):
+        detail = row.col_name in ("Location", "Provider", "Num Buckets", "Bucket Columns", "Sort Columns")
+        found[row.col_name if detail else f"{place}: {row.col_name}"] = row.data_type
+    return found
+
+
+def _layout(described: dict[str, str]) -> list[tuple[str, str]]:
+    """Columns, format and buckets, without what differs between versions."""
+    layout = []
+    for name, value in described.items():
+        if name.endswith(": # Detailed Table Information"):
+            break
+        layout.append((name, value))
+    kept = ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns")
+    return layout + [(name, described[name]) for name in kept if name in described]
+
+
 def publish(spark: SparkSession, staged: str, database: str, table: str) -> str:
-    """Put a staged version in the table's place, whatever its schema was before."""
+    """Put a staged version in the table's place, whatever its schema was before.
+
+    Readers find a table at any moment, but for the instant between two renames
+    where the schema changes; ``recover`` ends a publishing that broke off there.
+    """
     target = qualified(database, table)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    recover(spark, database, table)
+    if not spark.catalog.tableExists(target):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+        return target
+    new, old = _described(spark, staged), _described(spark, target)
+    partitioned = any("# Partition" in name for name in new)
+    if not partitioned and _layout(new) == _layout(old):
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{new['Location']}'")
+        spark.sql(f"DROP TABLE {staged}")
+        return target
+    aside = qualified(database, table + ASIDE)
+    spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    spark.sql(f"DROP TABLE {aside}")
+    return target
+
+
+def recover(spark: SparkSession, database: str, table: str) -> None:
+    """Finish a publishing that broke off: put the old table back, or forget it if replaced."""
+    target, aside = qualified(database, table), qualified(database, table + ASIDE)
+    if spark.catalog.tableExists(aside):
+        if spark.catalog.tableExists(target):
+            spark.sql(f"DROP TABLE {aside}")
+        else:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+
+
+def expire_versions(spark: SparkSession, database: str, table: str, keep: int = 1) -> int:
+    """Delete the folders of a table's versions but the published and the ``keep`` newest others.
+
+    Versions that are staged or set aside count as others. Readers of a deleted
+    version fail, so keep as many as the longest query may need. Returns how many
+    went.
+    """
+    recover(spark, database, table)
+    current = _described(spark, qualified(database, table))["Location"].rstrip("/")
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table.lower()}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return 0
+    versions = [
+        (status.getModificationTime(), status.getPath())
+        for status in files.listStatus(folder)
+        if status.getPath().getName().startswith("version=")
+        and status.getPath().getName() != current.rpartition("/")[2]
+    ]
+    old = sorted(versions, key=lambda version: version[0], reverse=True)[keep:]
+    for _, path in old:
+        files.delete(path, True)
+    return len(old)
+
+
+def add_staged(
+    spark: SparkSession, staged: str, sink: SinkSpec, database: str, table: str
+) -> str:
+    """Append a staged version's rows to the table, creating it on first use."""
+    if not spark.catalog.tableExists(qualified(database, table)):
+        return publish(spark, staged, database, table)
+    target = append_rows(spark.table(staged), sink, database, table)
+    discard(spark, staged)
     return target
 
 

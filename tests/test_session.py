@@ -25,10 +25,7 @@ def test_scratch_lies_in_the_shared_folder():
     assert first != second
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
+@pytest.mark.parametrize("master", ["yarn", "local[2]", "local-cluster[2,1,1024]"])
+def test_any_master_without_a_shared_folder_is_refused(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_folder(fake("yarn"))
-
-
-def test_a_local_master_may_use_a_local_folder():
-    assert scratch_folder(fake("local[2]")).startswith("/tmp/run-")
+        scratch_folder(fake(master))
