@@ -118,7 +118,7 @@ FROM (
            p_name || ', "' || p_brand || '"' || chr(10) || p_type AS product_name,
            p_retailprice AS price_per_product,
            p_partkey
-    FROM part WHERE p_type <> 'ECONOMY'
+    FROM part
 )
 LEFT JOIN (SELECT DISTINCT l_partkey, l_returnflag FROM lineitem) ON p_partkey = l_partkey
 """
@@ -197,6 +197,25 @@ ORACLE_SQL: dict[str, str] = {
                COUNT(DISTINCT l_orderkey) AS l_orderkey_distinct_count,
                COUNT(DISTINCT l_partkey) AS l_partkey_distinct_count
         FROM lineitem GROUP BY ALL ORDER BY l_returnflag, l_linestatus""",
+    "sum_of_any_values": """
+        WITH valued AS (
+            SELECT l_orderkey, l_linenumber % 4 AS n, l_extendedprice,
+                   CASE l_linenumber % 4 WHEN 0 THEN l_quantity * 1125899906842624.0::DOUBLE
+                                         WHEN 1 THEN l_quantity / 1024.0::DOUBLE
+                                         ELSE l_quantity / 1048576.0::DOUBLE END AS v
+            FROM lineitem
+        ),
+        totals AS (
+            SELECT n, COUNT(DISTINCT l_orderkey) AS orders,
+                   CASE WHEN n = 3 THEN CAST(SUM(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE)
+                        WHEN n = 0 THEN SUM(v)
+                        ELSE ROUND(SUM(v), 2) END AS total
+            FROM valued GROUP BY n
+        )
+        SELECT CASE n WHEN 0 THEN 'huge' WHEN 1 THEN 'fine' WHEN 2 THEN 'tiny' ELSE 'plain' END AS kind,
+               total AS total_hinted, total AS total_unhinted,
+               orders AS l_orderkey_distinct_count
+        FROM totals""",
     "count_metric": """
         SELECT o_orderpriority, COUNT(c_name) AS customer_name_count,
                CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_o_totalprice
@@ -337,6 +356,13 @@ ORACLE_SQL: dict[str, str] = {
     "enrich_left_checked": """
         SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_quantity, p_brand, p_size
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+    "enrich_left_composite_key": """
+        SELECT l.l_partkey, l_orderkey, l_linenumber, l.l_suppkey, l.l_quantity, largest
+        FROM lineitem l
+        LEFT JOIN (
+            SELECT l_partkey, l_suppkey, max(l_quantity) AS largest
+            FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL
+        ) s ON l.l_partkey = s.l_partkey AND l.l_suppkey = s.l_suppkey""",
     "join_growth": f"""{FLAGS}
         SELECT (SELECT COUNT(*) FROM lineitem) AS rows_before,
                COUNT(*) AS rows_after,
@@ -348,6 +374,7 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": PRODUCT_TABLE,
     "typed_workbook_ingest": PRODUCT_TABLE,
     "appended_batches": PRODUCT_TABLE,
+    "reloaded_batch": PRODUCT_TABLE,
     "json_roundtrip": LINE_TABLE,
     "workbook_ingest": """
         SELECT 'C' || c_custkey AS customer_id,
@@ -402,3 +429,14 @@ ORACLE_SQL: dict[str, str] = {
         WHERE place = 1
         GROUP BY ALL""",
 }
+
+ORACLE_SQL["appended_enriched_batches"] = (
+    f"SELECT * FROM ({ORACLE_SQL['enriched_customers']}) "
+    f"UNION ALL SELECT * FROM ({ORACLE_SQL['enriched_customers']})"
+)
+ORACLE_SQL["stored_reports"] = f"""
+    WITH totals AS (
+        SELECT customer_id, customer_name, ROUND(SUM(total_profit), 2) AS total_profit
+        FROM ({ORACLE_SQL['mart_end_to_end']}) GROUP BY ALL
+    )
+    SELECT *, 'report' AS origin FROM totals UNION ALL SELECT *, 'view' AS origin FROM totals"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
@@ -36,10 +37,18 @@ from tallyloom.operators import (
     reaggregate,
     rollup,
     snake_case_columns,
-    stamp,
     trim_strings,
 )
-from tallyloom.plans import Layout, enrich, land, run_aggregated, run_enriched
+from tallyloom.plans import (
+    EmptyTableError,
+    Layout,
+    enrich,
+    land,
+    report_tables,
+    run_aggregated,
+    run_enriched,
+    run_raw,
+)
 from tallyloom.plans.enriched import PROCESSED_COLUMN
 from tallyloom.retail import (
     AGGREGATES,
@@ -122,6 +131,35 @@ def sum_and_two_distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
     return aggregate(table(spark, folder, "lineitem"), spec)
 
 
+@query("sum_of_any_values")
+def sum_of_any_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Values too large, too small and too finely divided for the decimals they are hinted to have."""
+    number, quantity = F.col("l_linenumber") % 4, F.col("l_quantity").cast("double")
+    value = (
+        F.when(number == 0, quantity * 2.0**50)
+        .when(number == 1, quantity / 1024)
+        .when(number == 2, quantity * 2.0**-20)
+        .otherwise(F.col("l_extendedprice"))
+    )
+    lines = table(spark, folder, "lineitem").select(
+        F.elt(number.cast("int") + 1, F.lit("huge"), F.lit("fine"), F.lit("tiny"), F.lit("plain")).alias("kind"),
+        value.alias("hinted"),
+        value.alias("unhinted"),
+        "l_orderkey",
+    )
+    spec = AggregateSpec(
+        table="kinds",
+        source="lineitem",
+        group_by=("kind",),
+        metrics=(
+            Metric("hinted", "sum", scale=2),
+            Metric("unhinted", "sum"),
+            Metric("l_orderkey", "countDistinct"),
+        ),
+    )
+    return aggregate(lines, spec)
+
+
 @query("count_metric")
 def count_metric(spark: SparkSession, folder: str) -> DataFrame:
     spec = AggregateSpec(
@@ -151,10 +189,8 @@ def summed_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("latest_batch")
 def latest_event_batch(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").select(
-        "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("batch_day")
-    )
-    return latest_batch(events, "batch_day")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    return latest_batch(events, "ts", "day")
 
 
 @query("snake_case_rename")
@@ -382,6 +418,15 @@ def enrich_left_checked(spark: SparkSession, folder: str) -> DataFrame:
     return lookup(lines, parts, "l_partkey", ["p_brand", "p_size"], on_duplicate="error")
 
 
+@query("enrich_left_composite_key")
+def enrich_left_composite_key(spark: SparkSession, folder: str) -> DataFrame:
+    """What was sold of a part by a supplier is known by both keys together."""
+    lines, _ = _lines_and_flags(spark, folder)
+    sold = table(spark, folder, "lineitem").where("l_returnflag <> 'R'")
+    largest = sold.groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("largest"))
+    return lookup(lines, largest, ("l_partkey", "l_suppkey"), ["largest"], on_duplicate="error")
+
+
 @query("join_growth")
 def fan_out_report(spark: SparkSession, folder: str) -> DataFrame:
     lines, flags = _lines_and_flags(spark, folder)
@@ -516,15 +561,24 @@ def products_by_state(spark: SparkSession, folder: str) -> DataFrame:
     states = table(spark, folder, "lineitem").select(
         F.concat(F.lit("P"), "l_partkey").alias("Product ID"), F.col("l_returnflag").alias("State")
     )
-    products = product_rows(spark, folder).drop("State").where(F.col("Category") != "ECONOMY")
+    products = product_rows(spark, folder).drop("State")
     return lookup(products, states.distinct(), "Product ID", ["State"])
 
 
+def _delivered(customers: DataFrame) -> DataFrame:
+    """Without one segment, so that some order lines match no customer."""
+    return customers.where(F.col("Segment") != "BUILDING")
+
+
+def _stocked(products: DataFrame) -> DataFrame:
+    """Without one category, so that some order lines match no product."""
+    return products.where(F.col("Category") != "ECONOMY")
+
+
 def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    delivered = customer_rows(spark, folder).where(F.col("Segment") != "BUILDING")
     return {
-        "customers": _enriched(delivered, CUSTOMERS),
-        "products": _enriched(products_by_state(spark, folder), PRODUCTS),
+        "customers": _enriched(_delivered(customer_rows(spark, folder)), CUSTOMERS),
+        "products": _enriched(_stocked(products_by_state(spark, folder)), PRODUCTS),
     }
 
 
@@ -540,18 +594,20 @@ def enriched_products(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("enriched_orders_fanout")
 def enriched_orders_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    """Some customers and products are left out, so that unmatched order lines show."""
     return _enriched(order_rows(spark, folder), ORDERS, _dimensions(spark, folder))
 
 
 @query("enriched_orders_unique")
 def enriched_orders_unique(spark: SparkSession, folder: str) -> DataFrame:
+    """Some customers and products are left out, so that unmatched order lines show."""
     unique = orders_with("unique")
     return _enriched(order_rows(spark, folder), unique, _dimensions(spark, folder))
 
 
 @query("profit_with_fanout")
 def profit_with_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored aggregate over order lines that a partial product key repeats."""
+    """The stored aggregate over order lines that a partial product key repeats, some unmatched."""
     return aggregate(enriched_orders_fanout(spark, folder), PROFIT)
 
 
@@ -561,6 +617,15 @@ def _new_layout(spark: SparkSession) -> Layout:
     return Layout(f"raw_{run}", f"enriched_{run}", f"aggregated_{run}", location=base)
 
 
+def _answer(frame: DataFrame, layout: Layout) -> DataFrame:
+    """The rows, kept in the shared folder; the run's databases and files go."""
+    spark = frame.sparkSession
+    kept = frame.checkpoint()
+    for database in (layout.raw, layout.enriched, layout.aggregated):
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    return kept
+
+
 @query("appended_batches")
 def appended_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads kept side by side; the newest is read back by pruning to its batch."""
@@ -573,32 +638,75 @@ def appended_batches(spark: SparkSession, folder: str) -> DataFrame:
         at = datetime(2024, 1, day, 10, tzinfo=timezone.utc)
         land(batch.withColumn(BATCH_COLUMN, F.lit(at)), source, layout, at)
     stored = spark.table(qualified(layout.raw, source.table))
-    return snake_case_columns(latest_batch(stored, BATCH_COLUMN))
+    return _answer(snake_case_columns(latest_batch(stored, BATCH_COLUMN)), layout)
 
 
-@query("mart_end_to_end")
-def mart_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    """Files to raw, enriched and aggregated tables, and the stored aggregate back.
+@query("reloaded_batch")
+def reloaded_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """One batch loaded twice and then delivered empty, in a table that is not partitioned by it first."""
+    layout = _new_layout(spark)
+    create_database(spark, layout.raw, layout.location_of(layout.raw))
+    sink = SinkSpec(mode="append", partition_by=("Category", BATCH_COLUMN))
+    source = replace(PRODUCT_SOURCE, sink=sink)
+    rows = product_rows(spark, folder).withColumn(BATCH_COLUMN, F.lit(LOADED_AT))
+    for _ in range(2):
+        land(rows, source, layout, LOADED_AT)
+    with contextlib.suppress(EmptyTableError):
+        land(rows.where("false"), source, layout, LOADED_AT)
+    stored = spark.table(qualified(layout.raw, source.table)).drop(BATCH_COLUMN)
+    return _answer(snake_case_columns(stored), layout)
+
+
+@query("appended_enriched_batches")
+def appended_enriched_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two enrichments of the customers, the second added to the first."""
+    layout = _new_layout(spark)
+    create_database(spark, layout.raw, layout.location_of(layout.raw))
+    rows = customer_rows(spark, folder).withColumn(BATCH_COLUMN, F.lit(LOADED_AT))
+    land(rows, CUSTOMER_SOURCE, layout, LOADED_AT)
+    for _ in range(2):
+        run_enriched(spark, [replace(CUSTOMERS, sink=SinkSpec(mode="append"))], layout, LOADED_AT)
+    stored = spark.table(qualified(layout.enriched, CUSTOMERS.table)).drop(PROCESSED_COLUMN)
+    return _answer(stored, layout)
+
+
+def _run_mart(spark: SparkSession, folder: str) -> Layout:
+    """Files to raw, enriched and aggregated tables.
 
     Some customers and products are not delivered, so their order lines stay
-    unmatched and are stored as unknown.
+    unmatched and are stored as unknown. Customers are delivered as CSV here.
     """
     layout = _new_layout(spark)
     files = f"{layout.location}/files"
-    at = LOADED_AT
-    create_database(spark, layout.raw, layout.location_of(layout.raw))
-
-    products = product_rows(spark, folder).where(F.col("Category") != "ECONOMY")
-    write_csv(products, source_path(files, PRODUCT_SOURCE))
-    write_json_arrays(order_rows(spark, folder), source_path(files, LINE_SOURCE))
-    for source in (PRODUCT_SOURCE, LINE_SOURCE):
-        land(read_source(spark, source, source_path(files, source), at), source, layout, at)
-    delivered = customer_rows(spark, folder).where(F.col("Segment") != "BUILDING")
-    customers = parse_workbooks(
-        pack_workbooks(delivered), declared_schema(CUSTOMER_SOURCE.columns)
+    customers = replace(
+        CUSTOMER_SOURCE, format="csv", options={**PRODUCT_SOURCE.options, "nullValue": "NA"}
     )
-    land(stamp(customers, BATCH_COLUMN, at), CUSTOMER_SOURCE, layout, at)
-
-    run_enriched(spark, [CUSTOMERS, PRODUCTS, ORDERS], layout, at)
+    write_csv(_stocked(product_rows(spark, folder)), source_path(files, PRODUCT_SOURCE))
+    write_csv(_delivered(customer_rows(spark, folder)), source_path(files, customers))
+    write_json_arrays(order_rows(spark, folder), source_path(files, LINE_SOURCE))
+    run_raw(spark, [PRODUCT_SOURCE, customers, LINE_SOURCE], files, layout, LOADED_AT)
+    run_enriched(spark, [CUSTOMERS, PRODUCTS, ORDERS], layout, LOADED_AT)
     run_aggregated(spark, AGGREGATES, layout)
-    return spark.table(qualified(layout.aggregated, PROFIT.table))
+    return layout
+
+
+@query("mart_end_to_end")
+def mart_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored aggregate of a whole run of all layers."""
+    layout = _run_mart(spark, folder)
+    return _answer(spark.table(qualified(layout.aggregated, PROFIT.table)), layout)
+
+
+@query("stored_reports")
+def stored_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The report by customer over the stored aggregate, and the same from its view by SQL."""
+    layout = _run_mart(spark, folder)
+    report = report_tables(spark, PROFIT.table, layout)["profit_by_customer"]
+    by_sql = spark.sql(
+        f"SELECT customer_id, customer_name, ROUND(SUM(total_profit), 2) AS total_profit "
+        f"FROM v_{PROFIT.table} GROUP BY customer_id, customer_name"
+    )
+    both = report.withColumn("origin", F.lit("report")).unionByName(
+        by_sql.withColumn("origin", F.lit("view"))
+    )
+    return _answer(both, layout)

@@ -1,7 +1,7 @@
 """Raw source files made from the test star by Spark tasks.
 
-They stand in for deliveries: JSON arrays and workbooks of a bounded number of
-rows each, built batch by batch as rows stream through a task.
+They stand in for deliveries: JSON arrays of a bounded number of bytes and workbooks
+of a bounded number of rows, built as rows stream through a task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from tallyloom.operators import quoted
 
 
+JSON_BYTES = 32 << 20
+WORKBOOK_ROWS = 50_000
+
+
 def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.option("header", True).option("escape", '"').csv(path)
 
@@ -30,15 +34,40 @@ def _joiner() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def join(batches):
         import pandas as pd
 
+        objects, size = [], 0
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"value": ["[" + ",".join(batch["value"]) + "]"]})
+            for value in batch["value"]:
+                objects.append(value)
+                size += len(value) + 1
+                if size >= JSON_BYTES:
+                    yield pd.DataFrame({"value": ["[" + ",".join(objects) + "]"]})
+                    objects, size = [], 0
+        if objects:
+            yield pd.DataFrame({"value": ["[" + ",".join(objects) + "]"]})
 
     return join
 
 
+def _in_bounds(batches, rows: int):
+    """The same rows in frames of ``rows`` each, whatever the batches were."""
+    import pandas as pd
+
+    held, count = [], 0
+    for batch in batches:
+        while count + len(batch) >= rows:
+            held.append(batch.iloc[: rows - count])
+            batch = batch.iloc[rows - count :]
+            yield pd.concat(held)
+            held, count = [], 0
+        if len(batch):
+            held.append(batch)
+            count += len(batch)
+    if held:
+        yield pd.concat(held)
+
+
 def pack_workbooks(frame: DataFrame) -> DataFrame:
-    """One workbook in ``content`` per batch of rows, all cells as text."""
+    """One workbook in ``content`` per ``WORKBOOK_ROWS`` rows of a task, all cells as text."""
     names = frame.columns
     text = frame.select(*(quoted(name).cast("string").alias(name) for name in names))
     return text.mapInPandas(_packer(names), "content binary")
@@ -80,9 +109,7 @@ def _packer(names: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
             )
             return f'<row r="{number}">{cells}</row>'
 
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in _in_bounds(batches, WORKBOOK_ROWS):
             rows = [row_xml(1, names)]
             records = batch.itertuples(index=False, name=None)
             rows.extend(row_xml(number, record) for number, record in enumerate(records, 2))

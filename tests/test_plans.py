@@ -15,6 +15,12 @@ from tallyloom.operators import aggregate, dedupe, join_growth, latest_batch, lo
 SMALL = "/root/testdata/sf0.001"
 
 
+WRITING = {
+    "mart_end_to_end", "stored_reports", "appended_batches", "reloaded_batch", "appended_enriched_batches",
+    "csv_roundtrip", "json_roundtrip",
+}
+
+
 def initial_plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -44,7 +50,7 @@ def test_flagship_at_scale_shuffles_lines_three_times(spark, settings):
     assert sum("order_year" in line for line in exchanges) == 1
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"mart_end_to_end", "appended_batches", "csv_roundtrip", "json_roundtrip"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_plan_multiplies_rows_or_runs_row_by_row_python(spark, settings, name):
     for threshold in ("10m", "-1"):
         settings(autoBroadcastJoinThreshold=threshold)
@@ -68,7 +74,8 @@ def hot(spark):
     return lines.repartition(16)
 
 
-def test_hot_key_is_split_in_the_join(spark, settings, hot):
+@pytest.mark.parametrize("on_duplicate", ["fanout", "unique", "error"])
+def test_hot_key_is_split_in_the_join(spark, settings, hot, on_duplicate):
     settings(
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
@@ -80,8 +87,10 @@ def test_hot_key_is_split_in_the_join(spark, settings, hot):
     products = table(spark, "/root/testdata/sf0.01", "part").select(
         F.col("p_partkey").alias("product_id"), "p_brand"
     )
-    joined = lookup(hot, products, "product_id", ["p_brand"])
+    joined = lookup(hot, products.repartition(8), "product_id", ["p_brand"], on_duplicate)
     assert "skew=true" in final_plan(joined)
+    grouped = lookup(hot, dedupe(products, ["product_id"]), "product_id", ["p_brand"], on_duplicate)
+    assert "skew=true" in final_plan(grouped)
     plain = joined.agg(F.count("*"), F.count("p_brand"), F.sum("l_quantity")).first()
     assert plain == hot.agg(F.count("*"), F.count("*"), F.sum("l_quantity")).first()
 
@@ -145,6 +154,20 @@ def test_newest_batch_is_one_plan_with_a_pushed_filter(spark, folder):
     assert "PartitionFilters: [isnotnull(batch" in plan
 
 
+def test_newest_day_is_pushed_as_a_range(spark):
+    plan = QUERIES["latest_batch"](spark, SMALL)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "GreaterThanOrEqual(ts," in plan or "ts#" in plan and ">= Subquery" in plan
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_lose_nothing_in_either_mode(spark, settings, connection, ansi):
+    settings(ansi__enabled=ansi)
+    found = QUERIES["sum_of_any_values"](spark, SMALL)
+    assert difference(found, connection, ORACLE_SQL["sum_of_any_values"]) is None
+
+
 @pytest.fixture(scope="module")
 def connection():
     return connect(SMALL)
