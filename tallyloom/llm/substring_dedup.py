@@ -45,7 +45,7 @@ def anchors(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, n
     A window's anchor is the smallest hash of its sequences of ``anchor`` words. It
     depends on the window's words only, so equal windows have equal anchors.
     """
-    hashes = np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
     grams = hashes[: len(words) - anchor + 1].copy()
     for i in range(1, anchor):
         grams = grams * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(words) - anchor + 1 + i]
