@@ -21,6 +21,9 @@ EMPTY_CELLS = frozenset(
     ]
 )
 
+# Numbers of the built-in formats that show dates or times.
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), 45, 47, *range(50, 59)])
+
 BATCH_ROWS = 5_000
 
 
@@ -29,6 +32,8 @@ def parse_workbooks(workbooks: DataFrame, schema: StructType) -> DataFrame:
 
     The header row is skipped and cells bind to the schema by position. Cells
     are read as text, blank ones as null, and then cast to the declared types.
+    A number shown as a date reads ``2016-08-21 00:00:00``, one below 1 shown so
+    reads ``06:30:00``; elapsed times and percentages stay numbers.
     """
     text = StructType()
     for item in schema:
@@ -47,13 +52,18 @@ def parse_workbooks(workbooks: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _row_reader(
-    names: list[str], empty: frozenset[str] = EMPTY_CELLS, batch_rows: int = BATCH_ROWS
+    names: list[str],
+    empty: frozenset[str] = EMPTY_CELLS,
+    batch_rows: int = BATCH_ROWS,
+    date_formats: frozenset[int] = DATE_FORMATS,
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """The task-side function; it carries all it needs, so workers import nothing of ours."""
 
     def read(batches):
+        import datetime
         import io
         import itertools
+        import re
         import zipfile
         from xml.etree import ElementTree
 
@@ -100,7 +110,52 @@ def _row_reader(
                 number = float(value)
             return str(int(number)) if number.is_integer() else repr(number)
 
-        def value_of(cell, space, shared):
+        def shows_date(code):
+            """Whether a format has day, month, year, hour or second signs outside of texts."""
+            plain = re.sub(r'"[^"]*"|\\.|_.|\*.', "", code.split(";")[0])
+            elapsed = re.search(r"\[(h+|m+|s+)\]", plain, re.IGNORECASE)
+            return not elapsed and bool(re.search("[dmyhs]", re.sub(r"\[[^\]]*\]", "", plain), re.IGNORECASE))
+
+        def date_styles(archive):
+            """Numbers of the cell styles that show dates."""
+            if "xl/styles.xml" not in archive.namelist():
+                return frozenset()
+            root = ElementTree.fromstring(archive.read("xl/styles.xml"))
+            custom = {
+                item.get("numFmtId"): shows_date(item.get("formatCode", ""))
+                for item in root.iter()
+                if item.tag.endswith("}numFmt")
+            }
+            found = set()
+            for part in root:
+                if part.tag.endswith("}cellXfs"):
+                    for place, style in enumerate(part):
+                        number = style.get("numFmtId", "0")
+                        if custom.get(number, int(number) in date_formats):
+                            found.add(str(place))
+            return found
+
+        def first_day(archive):
+            """The day with number zero: workbooks count from 1900 or from 1904."""
+            for item, _ in elements(archive, "xl/workbook.xml", "workbookPr"):
+                if item.get("date1904") in ("1", "true"):
+                    return datetime.datetime(1904, 1, 1)
+            return datetime.datetime(1899, 12, 30)
+
+        def date_text(value, start):
+            """The shown date of a number; numbers beyond the calendar stay as they are."""
+            days, part = divmod(float(value), 1)
+            milliseconds = round(part * 86_400_000)
+            if 0 <= days < 1 and milliseconds < 86_400_000 and start.year < 1904:
+                return str((datetime.datetime.min + datetime.timedelta(milliseconds=milliseconds)).time())
+            # The count from 1900 has a 29 February that year did not have.
+            days += start.year < 1904 and 1 <= days < 60
+            try:
+                return str(start + datetime.timedelta(days=days, milliseconds=milliseconds))
+            except OverflowError:
+                return number_text(value)
+
+        def value_of(cell, space, shared, dates, start):
             kind = cell.get("t", "n")
             if kind == "inlineStr":
                 held = cell.find(space + "is")
@@ -110,7 +165,10 @@ def _row_reader(
                 if value and kind == "s":
                     value = shared[int(value)]
                 elif value and kind == "n":
-                    value = number_text(value)
+                    dated = cell.get("s") in dates
+                    value = date_text(value, start) if dated else number_text(value)
+                elif value and kind == "d":
+                    value = value.replace("T", " ") if "T" in value else f"{value} 00:00:00"
                 elif value and kind == "b":
                     value = "True" if value == "1" else "False"
             return None if value in empty else value
@@ -121,6 +179,7 @@ def _row_reader(
             if "xl/sharedStrings.xml" in archive.namelist():
                 strings = elements(archive, "xl/sharedStrings.xml", "si")
                 shared = [text_of(item, space) for item, space in strings]
+            dates, start = date_styles(archive), first_day(archive)
             position = 0
             for row, space in elements(archive, first_sheet(archive), "row"):
                 number = int(row.get("r", position + 1))
@@ -131,7 +190,7 @@ def _row_reader(
                 for cell in row:
                     reference = cell.get("r")
                     place = column_of(reference) if reference else place + 1
-                    value = value_of(cell, space, shared)
+                    value = value_of(cell, space, shared, dates, start)
                     if value is not None:
                         cells[place] = value
                 yield cells

@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 from tallyloom import SourceSpec
 from tallyloom.retail import CSV_OPTIONS, JSON_OPTIONS
 from tallyloom.sources import declared_schema, parse_workbooks, read_source, source_path
-from workbook import Number, write_workbook
+from workbook import Number, Styled, write_workbook
 
 COLUMNS = (("Product ID", "string"), ("Quantity", "int"), ("Price per product", "double"))
 CSV = SourceSpec("products", "csv", "Products", COLUMNS, ("Product ID",), CSV_OPTIONS)
@@ -151,3 +151,23 @@ def test_long_workbook_leaves_the_task_in_batches(spark, folder):
     count = 12_345
     write_workbook(folder / "Customers.xlsx", {1: ["h"], **{n: [n] for n in range(2, count + 2)}})
     assert len(read(spark, BOOK, folder)) == count
+
+
+def test_workbook_dates_as_shown(spark, folder):
+    goldens = {
+        "0:42603": "42603",
+        "1:42603": "2016-08-21 00:00:00",
+        "2:42603.75": "2016-08-21 18:00:00",
+        "3:0.2708333333333333": "06:30:00",
+        "4:0.25": "0.25",
+        "5:1.5": "1.5",
+        "6:59": "1900-02-28 00:00:00",
+        "6:61": "1900-03-01 00:00:00",
+        "7:12": "12",
+        "1:1e9": "1000000000",
+    }
+    rows = {n: [Styled(cell)] for n, cell in enumerate(goldens, 2)}
+    write_workbook(folder / "d.xlsx", {1: ["h"], **rows})
+    books = spark.read.format("binaryFile").load(str(folder / "d.xlsx"))
+    found = [row.h for row in parse_workbooks(books, declared_schema((("h", "string"),))).collect()]
+    assert found == list(goldens.values())

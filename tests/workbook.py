@@ -15,6 +15,21 @@ class Number(str):
     """A numeric cell whose text in the file is given exactly."""
 
 
+class Styled(str):
+    """A numeric cell and the number of its style, as ``style:number``."""
+
+
+#: Formats of the styles 0 to 7: none, date, date and time, time, percent, elapsed, own date, own text.
+STYLES = (
+    f'<styleSheet xmlns="{MAIN}"><numFmts count="2">'
+    '<numFmt numFmtId="164" formatCode="[$-409]d\\ mmm&quot; of &quot;yy;@"/>'
+    '<numFmt numFmtId="165" formatCode="0&quot; days&quot;"/></numFmts>'
+    '<cellStyleXfs><xf numFmtId="14"/></cellStyleXfs><cellXfs>'
+    + "".join(f'<xf numFmtId="{n}"/>' for n in (0, 14, 22, 20, 10, 46, 164, 165))
+    + "</cellXfs></styleSheet>"
+)
+
+
 def letters(place: int) -> str:
     return chr(65 + place)
 
@@ -23,6 +38,9 @@ def cell(place: int, number: int, value, shared: list[str]) -> str:
     where = f'r="{letters(place)}{number}"'
     if value is None:
         return ""
+    if isinstance(value, Styled):
+        style, _, text = value.partition(":")
+        return f'<c {where} s="{style}"><v>{text}</v></c>'
     if isinstance(value, bool):
         return f'<c {where} t="b"><v>{int(value)}</v></c>'
     if isinstance(value, (int, float, Number)):
@@ -64,6 +82,7 @@ def write_workbook(path: Path, rows: dict[int, list], sheet: str = "worksheets/s
             f'<Relationship Id="rId9" Type="{LINKS}/worksheet" Target="{sheet}"/>'
             "</Relationships>",
         )
+        archive.writestr("xl/styles.xml", STYLES)
         archive.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">{texts}</sst>')
         archive.writestr(member, f'<worksheet xmlns="{MAIN}"><sheetData>{body}</sheetData></worksheet>')
         archive.writestr("xl/worksheets/other.xml", f'<worksheet xmlns="{MAIN}"><sheetData/></worksheet>')
