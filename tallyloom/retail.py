@@ -67,6 +67,7 @@ ORDER_CONTRACT = (
 )
 PROFIT_GRAIN = ("order_year", "category", "sub_category", "customer_id", "customer_name")
 
+# Keys, audited columns, cleaning rules, lookups, grain and order of every table.
 SOURCES = (
     SourceSpec(
         table="products",

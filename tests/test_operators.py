@@ -30,6 +30,7 @@ from tallyloom.operators import (
 )
 
 GRAIN = ("order_year", "category", "sub_category", "customer_id", "customer_name")
+# Golden rows.
 LINES = [
     (2016, "Furniture", "Chairs", "C001", "Alice", "ORD-001", 100.50),
     (2016, "Furniture", "Chairs", "C001", "Alice", "ORD-001", 200.75),
@@ -189,6 +190,7 @@ def test_duplicate_reports(spark):
 
 @pytest.fixture
 def star(spark):
+    # Golden rows.
     orders = spark.createDataFrame(
         [(1, "C001", "P001", 63.687), (2, "C002", "P999", -20.123), (3, "C001", "P002", 45.678), (4, None, None, 1.0)],
         "row_id int, customer_id string, product_id string, profit double",
