@@ -57,12 +57,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; each result is written to the shared folder and reread."""
+    """Apply all stages to the documents; each result is written to the shared folder and reread.
+
+    A stage's files go when the next one's are complete; those of the last stay.
+    """
     base = spark.conf.get(CHECKPOINTS, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     folder = f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            done = spark._jvm.org.apache.hadoop.fs.Path(before)
+            done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
+        before = path
     return docs

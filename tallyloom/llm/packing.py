@@ -190,29 +190,30 @@ def packed(
     id_column: str = "doc_id",
     text_column: str = "text",
     with_ids: bool = False,
-    buckets: int = 64,
+    ranked_together: int = 100_000,
 ) -> DataFrame:
     """The pieces with their ``sequence_id`` and ``offset`` in it.
 
-    Only the histogram, at most ``capacity`` counts for each bucket, reaches the
+    Only the histogram, one count for each length up to ``capacity``, reaches the
     driver; patterns and slots are bounded by the capacity as well and are
     broadcast. A piece finds its slot by its rank among the pieces of its length.
-    Ranks are counted within ``buckets`` per length, so that a length of very many
-    pieces is ranked by many tasks. Repeated rows are packed as often as they
-    occur. An empty table gives no rows.
+    Ranks are counted in buckets of about ``ranked_together`` pieces, so that a
+    length of very many pieces is ranked by many tasks. Repeated rows are packed as
+    often as they occur. An empty table gives no rows.
     """
-    cut = stored(
-        pieces(documents, path, capacity, end_id, id_column, text_column, with_ids).withColumn(
-            "bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).cast("int")
-        )
+    cut = stored(pieces(documents, path, capacity, end_id, id_column, text_column, with_ids))
+    histogram = {
+        row["length"]: row["pieces"]
+        for row in cut.groupBy("length").agg(F.count("*").alias("pieces")).collect()
+    }
+    buckets = 1 + max(histogram.values(), default=0) // ranked_together
+    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
+    counts = cut.groupBy("length", "bucket").agg(F.count("*").alias("pieces"))
+    earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "length", "bucket", F.coalesce(F.sum("pieces").over(earlier), F.lit(0)).alias("earlier")
     )
-    counts = cut.groupBy("length", "bucket").agg(F.count("*").alias("pieces")).collect()
-    histogram, before = {}, []
-    for length, bucket, number in sorted(tuple(row) for row in counts):
-        before.append((length, bucket, histogram.get(length, 0)))
-        histogram[length] = histogram.get(length, 0) + number
     spark = documents.sparkSession
-    offsets = spark.createDataFrame(before, "length bigint, bucket int, earlier bigint")
     slots = spark.createDataFrame(
         _slots(pack_histogram(histogram, capacity)),
         "length bigint, first_rank bigint, end_rank bigint, times bigint, slot_offset bigint, first_sequence bigint",
@@ -220,7 +221,7 @@ def packed(
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "start")
     ranked = (
         cut.withColumn("rank_in_bucket", F.row_number().over(order) - 1)
-        .join(F.broadcast(offsets), ["length", "bucket"])
+        .join(offsets, ["length", "bucket"])
         .withColumn("piece_rank", F.col("rank_in_bucket") + F.col("earlier"))
     )
     within = F.col("piece_rank") - F.col("first_rank")

@@ -60,8 +60,8 @@ def check(rows, documents, tokenizer, capacity):
 
 def test_odd_documents(odd, tokenizer):
     documents = [(r["doc_id"], r["text"]) for r in odd.collect()]
-    for capacity in (2048, 16):
-        rows = packed(odd, PATH, capacity=capacity).collect()
+    for capacity, together in ((2048, 100_000), (16, 3)):
+        rows = packed(odd, PATH, capacity=capacity, ranked_together=together).collect()
         count = check(rows, documents, tokenizer, capacity)
         total = sum(r["length"] for r in rows)
         assert (count - 1) * capacity < total + capacity * 2
