@@ -43,18 +43,23 @@ def exact(value: Column, data_type: DataType, scale: int | None = None) -> Colum
     raise TypeError(f"cannot sum a column of type {data_type.simpleString()}")
 
 
-def inexact(value: Column, data_type: DataType, scale: int | None = None) -> Column:
-    """What ``exact`` leaves of the value, as a double; zero for ordinary amounts."""
+def inexact(value: Column, data_type: DataType, scale: int | None = None) -> Column | None:
+    """What ``exact`` leaves of the value, as a double; zero for ordinary amounts.
+
+    None for types of which it leaves nothing.
+    """
     kept = exact(value, data_type, scale)
-    if not isinstance(data_type, FractionalType) or isinstance(data_type, DecimalType):
-        return F.lit(None).cast("double")
+    if isinstance(data_type, (DecimalType, IntegralType)):
+        return None
     number = value.cast("double")
     return F.when(kept.isNull(), number).otherwise(number - kept.cast("double"))
 
 
-def total(exact_sum: Column, inexact_sum: Column, digits: int) -> Column:
+def total(exact_sum: Column, inexact_sum: Column | None, digits: int) -> Column:
     """Both sums together, rounded; null where there was no value."""
     whole = round_half_up(exact_sum, digits).cast("double")
+    if inexact_sum is None:
+        return whole
     rest = F.coalesce(inexact_sum, F.lit(0.0))
     both = F.coalesce(exact_sum.cast("double"), F.lit(0.0)) + rest
     rounded = F.when(F.isnan(both) | (F.abs(both) > 1e15), both).otherwise(round_half_up(both, digits))

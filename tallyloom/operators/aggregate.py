@@ -25,14 +25,15 @@ def _alias(metric: Metric) -> str:
     return metric.column + (COUNT_SUFFIX if metric.function == COUNT else DISTINCT_SUFFIX)
 
 
-def _parts(frame: DataFrame, name: str, scale: int | None) -> tuple[Column, Column]:
-    """The exact and the inexact part of a summed column."""
+def _parts(frame: DataFrame, name: str, scale: int | None) -> tuple[Column, Column | None]:
+    """The exact and the inexact part of a summed column, if it can have one."""
     kind = frame.schema[name].dataType
     return exact(quoted(name), kind, scale), inexact(quoted(name), kind, scale)
 
 
-def _total(parts: tuple[Column, Column]) -> Column:
-    return total(*map(F.sum, parts), TOTAL_DIGITS)
+def _total(parts: tuple[Column, Column | None]) -> Column:
+    whole, rest = parts
+    return total(F.sum(whole), None if rest is None else F.sum(rest), TOTAL_DIGITS)
 
 
 def _check(metrics: Sequence[Metric]) -> None:
@@ -86,10 +87,11 @@ def _through_pairs(frame: DataFrame, spec: AggregateSpec, counted: str) -> DataF
     for place, metric in enumerate(spec.metrics):
         partial = f"_m{place}"
         if metric.function == SUM:
-            rest = f"_r{place}"
-            for part, name in zip(_parts(frame, metric.column, metric.scale), (partial, rest)):
-                per_pair.append(F.sum(part).alias(name))
-            measure = _total((F.col(partial), F.col(rest)))
+            whole, rest = _parts(frame, metric.column, metric.scale)
+            per_pair.append(F.sum(whole).alias(partial))
+            if rest is not None:
+                per_pair.append(F.sum(rest).alias(f"_r{place}"))
+            measure = _total((F.col(partial), None if rest is None else F.col(f"_r{place}")))
         elif metric.function == COUNT:
             per_pair.append(F.count(quoted(metric.column)).alias(partial))
             measure = F.coalesce(F.sum(partial), F.lit(0))
