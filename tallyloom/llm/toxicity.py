@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import groupby
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.char_model import BORDER, LETTERS, CharModel, plain, trigram_counts
 from tallyloom.llm.learning import MAX_LABELLED, constant_score, held_out, labelled_sample
+from tallyloom.llm.storage import stored
 
 #: Letters that a sign may stand for.
 LOOKALIKES = {
@@ -115,6 +117,31 @@ def _signature(text: str) -> int:
     return min((xxhash.xxh64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])), default=0) >> 1
 
 
+def _texts_with(texts: DataFrame, model: CharModel, wanted: frozenset[str] | None) -> DataFrame:
+    """(feature, texts): how many texts have each feature, or each of the wanted ones.
+
+    Each task counts its own texts before anything is shuffled.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                words = {w for t in set(tokens(text.as_py() or "")) for w in readings(t, model)}
+                found = {f for w in words for f in features(w)}
+                total.update(found if wanted is None else found & wanted)
+        yield pa.RecordBatch.from_pydict(
+            {"feature": pa.array(list(total), pa.string()), "texts": pa.array(list(total.values()), pa.int64())}
+        )
+
+    return (
+        texts.select("text")
+        .mapInArrow(count, "feature string, texts bigint")
+        .groupBy("feature")
+        .agg(F.sum("texts").alias("texts"))
+    )
+
+
 def lexicon(
     sample: DataFrame, model: CharModel, least: int = 4, doubt: float = 2.0
 ) -> dict[str, float]:
@@ -125,37 +152,24 @@ def lexicon(
     log odds, less ``doubt`` standard errors, exceed those of the sample by 1.5.
     ``least`` and the sample's bound also bound the lexicon.
     """
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-                text = text.as_py() or ""
-                found = {f for t in set(tokens(text)) for w in readings(t, model) for f in features(w)}
-                signature = _signature(text)
-                rows += [(feature, label, signature) for feature in found]
-            if rows:
-                names, kinds = ("feature", "label", "signature"), (pa.string(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names
-                )
-
-    found = sample.select("text", "label").mapInArrow(find, "feature string, label int, signature bigint")
-    # A rare feature marks nothing: drop it before the copies are told apart.
-    counted = (
-        found.distinct()
-        .groupBy("feature")
-        .agg(F.sum("label").alias("ones"), F.sum(1 - F.col("label")).alias("zeros"))
-        .where((F.col("ones") >= least) & (F.col("ones") > F.col("zeros") * 0.5))
+    signature = F.pandas_udf(lambda texts: texts.map(lambda x: _signature(x or "")), "bigint")
+    single = stored(
+        sample.withColumn("signature", signature("text"))
+        .groupBy("label", "signature")
+        .agg(F.min("text").alias("text"))
     )
-    texts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    texts = {row["label"]: row["count"] for row in single.groupBy("label").count().collect()}
+    marks = _texts_with(single.where("label = 1"), model, None).where(F.col("texts") >= least)
+    ones = {row["feature"]: row["texts"] for row in marks.collect()}
+    others = _texts_with(single.where("label = 0"), model, frozenset(ones))
+    zeros = {row["feature"]: row["texts"] for row in others.collect()}
     prior = math.log((texts.get(1, 0) + 0.5) / (texts.get(0, 0) + 0.5))
     kept = {}
-    for row in counted.collect():
-        ones, zeros = row["ones"] + 0.5, row["zeros"] + 0.5
-        odds = math.log(ones / zeros) - prior
-        if odds - doubt * math.sqrt(1 / ones + 1 / zeros) > 1.5:
-            kept[row["feature"]] = odds
+    for feature, count in ones.items():
+        with_it, without = count + 0.5, zeros.get(feature, 0) + 0.5
+        odds = math.log(with_it / without) - prior
+        if odds - doubt * math.sqrt(1 / with_it + 1 / without) > 1.5:
+            kept[feature] = odds
     return kept
 
 
