@@ -16,6 +16,8 @@ from tallyloom.llm.storage import fresh, stored
 
 BITS = 64
 SEED = 42
+#: Differing bits up to which all pairs are found in one step.
+CLOSE = 3
 #: Shingles hashed at a time, so that a very long text needs no more memory than a short one.
 BLOCK = 50_000
 
@@ -75,6 +77,9 @@ def segments_for(count: int, max_distance: int) -> int:
 def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFrame:
     """(a, b), a < b: all pairs of different fingerprints ``fp`` within the distance.
 
+    If the nodes have a ``label``, the pairs of different labels that such
+    fingerprints have; fingerprints of one label are not paired.
+
     With q, r = divmod(max_distance, segments), a pair within the distance differs by
     at most q bits in one of the first r + 1 segments, or by at most q - 1 in one of
     the others. Every fingerprint is filed under its segments' values, and looks up
@@ -85,6 +90,11 @@ def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> Da
     quotient, remainder = divmod(max_distance, segments)
     filed, probes = [], []
     fp = F.col("fp")
+    own, other = [fp.alias("a")], [fp.alias("b")]
+    a, b = "a", "b"
+    if "label" in nodes.columns:
+        own, other = [*own, F.col("label").alias("a_label")], [*other, F.col("label").alias("b_label")]
+        a, b = "a_label", "b_label"
     for number, (shift, width) in enumerate(_segments(segments)):
         radius = quotient if number <= remainder else quotient - 1
         if radius < 0:
@@ -95,29 +105,42 @@ def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> Da
             for flips in combinations(range(width), size)
         ]
         label = F.lit(number).alias("segment")
-        filed.append(nodes.select(label, _part(fp, shift, width).alias("value"), fp.alias("b")))
+        filed.append(nodes.select(label, _part(fp, shift, width).alias("value"), *other))
         ball = nodes.select(
             label,
             _part(fp, shift, width).alias("own"),
             F.explode(F.array(*map(F.lit, map(int, masks))).cast("array<bigint>")).alias("mask"),
-            fp.alias("a"),
+            *own,
         ).where(F.col("own").bitwiseXOR(F.col("mask")) >= F.col("own"))
-        probes.append(ball.select("segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"), "a"))
+        changed = F.col("own").bitwiseXOR(F.col("mask")).alias("value")
+        labels = [name for name in ball.columns if name not in ("segment", "own", "mask")]
+        probes.append(ball.select("segment", changed, *labels))
     left, right = probes[0], filed[0]
     for more_probes, more_filed in zip(probes[1:], filed[1:]):
         left, right = left.union(more_probes), right.union(more_filed)
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
-    found = left.join(right, ["segment", "value"]).where(close & (F.col("a") != F.col("b")))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = left.join(right, ["segment", "value"]).where(close & (F.col(a) != F.col(b)))
+    return found.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def _components(nodes: DataFrame, max_distance: int, segments: int | None) -> DataFrame:
-    """(fp, component_id) from (fp, first): ``first`` is the smallest id of a fingerprint."""
+    """(fp, component_id) from (fp, first): ``first`` is the smallest id of a fingerprint.
+
+    Beyond ``CLOSE`` the distance grows by steps. Each step pairs only what the one
+    before has not joined, so that a large group of near copies does not pair all
+    its members; the groups are the same.
+    """
     segments = segments or segments_for(nodes.count(), max_distance)
-    linked = connected_components(near_pairs(nodes.select("fp"), max_distance, segments))
-    labelled = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("label")
-    )
+    labelled = nodes.select("fp", "first", F.col("fp").alias("label"))
+    for distance in [*range(CLOSE, max_distance, 2), max_distance]:
+        first = distance == CLOSE or distance == max_distance <= CLOSE
+        compared = labelled.select("fp") if first else labelled.select("fp", "label")
+        linked = connected_components(near_pairs(compared, distance, segments))
+        labelled = labelled.join(linked, labelled["label"] == linked["node"], "left").select(
+            "fp", "first", F.coalesce("component", "label").alias("label")
+        )
+        if distance < max_distance:
+            labelled = stored(labelled)
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     return labelled.join(least, "label").select("fp", "component_id")
 

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from llm_support import ODD_DOCUMENTS, union_find
 
-from tallyloom.llm.simhash import fingerprint, keep_one_of_group, near_pairs, segments_for, simhash_groups
+from tallyloom.llm.simhash import _components, fingerprint, keep_one_of_group, near_pairs, segments_for, simhash_groups
 
 
 def plain_fingerprint(text, width=3):
@@ -61,3 +61,18 @@ def test_groups_of_odd_documents(odd):
 def test_empty_table(nothing):
     assert simhash_groups(nothing).collect() == []
     assert keep_one_of_group(nothing).collect() == []
+
+
+def test_growing_the_distance_by_steps_gives_the_same_groups(spark):
+    random.seed(12)
+    centres = [random.getrandbits(64) for _ in range(9)]
+    prints = {c ^ sum(1 << b for b in random.sample(range(64), random.randrange(9))) for c in centres for _ in range(9)}
+    signed = sorted(p - 2**64 if p >> 63 else p for p in prints)
+    for distance in (4, 7):
+        links = [
+            (a, b) for a in signed for b in signed
+            if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= distance
+        ]
+        nodes = spark.createDataFrame([(p, p) for p in signed], "fp bigint, first bigint")
+        found = dict(map(tuple, _components(nodes, distance, None).collect()))
+        assert found == union_find(signed, links)
