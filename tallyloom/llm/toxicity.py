@@ -32,7 +32,10 @@ SEPARATORS = "._-*~'`,:;/\\#^​‌‍­"
 #: Log costs of the channel: a sign for a letter, a dropped separator, a dropped or kept sign, a repetition.
 SUBSTITUTED, SEPARATED, DROPPED, REPEATED = -1.0, -0.3, -12.0, -2.5
 _EDGES = ".,;:!?\"'()[]{}*#%&$-_|+<>=~`"
+_STOPS = frozenset(".,;:?")
+_STRETCHED = re.compile(r"(.)\1\1", re.DOTALL)
 _SPACED = re.compile(r"(?<!\S)\S(?:[ ]\S){3,}(?!\S)")
+_MAYBE_SPACED = re.compile(r" \S \S \S")
 
 
 def lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -84,11 +87,14 @@ def restored(word: str, model: CharModel) -> str:
 
 def readings(token: str, model: CharModel) -> list[str]:
     """The plain word of a token, and the restored one where it may be disguised."""
+    bare = token[:-1] if token[-1:] in _STOPS else token
+    if bare.isalpha() and not _STRETCHED.search(simple := plain(bare)):
+        return [simple]
     word = plain(token).strip(_EDGES)
     if not word:
         return [restored(token, model)] if any(c in LOOKALIKES for c in token) and any(map(str.isalpha, token)) else []
     disguised = not word.isalpha() and any(map(str.isalpha, word))
-    stretched = any(a == b == c for a, b, c in zip(word, word[1:], word[2:]))
+    stretched = bool(_STRETCHED.search(word))
     whole = plain(token)
     edged = any(c in LOOKALIKES for c in whole[: len(whole) - len(whole.lstrip(_EDGES))] + whole[len(whole.rstrip(_EDGES)) :])
     found = [word]
@@ -100,7 +106,7 @@ def readings(token: str, model: CharModel) -> list[str]:
 def tokens(text: str) -> list[str]:
     """The text's words; letters spaced out are joined to one more word."""
     words = text.split()
-    if len(words) > 3:
+    if _MAYBE_SPACED.search(text):
         for match in _SPACED.finditer(text):
             words.append(match[0].replace(" ", ""))
     return words
