@@ -39,35 +39,56 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-def anchors(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, windows) of each run of windows with the same anchor.
+def _sliding(of: np.ufunc, values: np.ndarray, goal: int) -> np.ndarray:
+    """The minimum or maximum of each ``goal`` values in a row."""
+    width = 1
+    while width < goal:
+        step = min(width, goal - width)
+        values = of(values[:-step], values[step:])
+        width += step
+    return values
+
+
+def anchors(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """(hash, first window, windows, places) of each run of windows with the same anchor.
 
     A window's anchor is the smallest hash of its sequences of ``anchor`` words. It
     depends on the window's words only, so equal windows have equal anchors.
+    ``places`` counts the sequences of the run's words that have this hash: equal
+    windows within one run hold it at different places.
     """
     hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
     grams = hashes[: len(words) - anchor + 1].copy()
     for i in range(1, anchor):
         grams = grams * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(words) - anchor + 1 + i]
-    least, width, goal = _mixed(grams), 1, window - anchor + 1
-    while width < goal:
-        step = min(width, goal - width)
-        least = np.minimum(least[:-step], least[step:])
-        width += step
+    mixed, goal = _mixed(grams), window - anchor + 1
+    least = _sliding(np.minimum, mixed, goal)
     first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    return least[first].view(np.int64), first, np.diff(np.append(first, len(least)))
+    # A sequence is the least of some window if no window with it has a larger least. Such
+    # sequences come in the order of the runs, and those of neighbouring runs differ.
+    edge = np.zeros(goal - 1, np.uint64)
+    held = mixed[mixed == _sliding(np.maximum, np.concatenate((edge, least, edge)), goal)]
+    starts = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
+    places = np.diff(np.append(starts, len(held)))
+    return least[first].view(np.int64), first, np.diff(np.append(first, len(least))), places
+
 
+def _cut(
+    found: np.ndarray, first: np.ndarray, count: np.ndarray, places: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Runs of at most ``RUN`` windows; a repeated word makes runs as long as its text.
 
-def _cut(found: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of at most ``RUN`` windows; a repeated word makes runs as long as its text."""
+    Each part of a run says ``places`` of the whole run, which is not less than its own.
+    """
     times = -(-count // RUN)
     step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     first = np.repeat(first, times) + step * RUN
-    return np.repeat(found, times), first, np.minimum(np.repeat(count, times) - step * RUN, RUN)
+    count = np.minimum(np.repeat(count, times) - step * RUN, RUN)
+    return np.repeat(found, times), first, count, np.repeat(places, times)
 
 
 def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(anchor, key, first, windows) of all rows (key, text)."""
+    """(anchor, key, first, windows, places) of all rows (key, text)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,9 +96,9 @@ def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = words_of(text.as_py())
                 for at in range(0, len(words) - window + 1, BLOCK):
-                    found, first, count = anchors(words[at : at + BLOCK + window - 1], window, anchor)
-                    found, first, count = _cut(found, first, count)
-                    parts.append((found, np.full(len(found), key), first + at, count))
+                    runs = anchors(words[at : at + BLOCK + window - 1], window, anchor)
+                    found, first, count, places = _cut(*runs)
+                    parts.append((found, np.full(len(found), key), first + at, count, places))
                 if sum(len(part[0]) for part in parts) > 200_000:
                     yield _batch(parts)
                     parts = []
@@ -85,14 +106,14 @@ def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
                 yield _batch(parts)
 
     return rows.select("key", "text").mapInArrow(
-        find, "anchor bigint, key bigint, first bigint, windows bigint"
+        find, "anchor bigint, key bigint, first bigint, windows bigint, places bigint"
     )
 
 
 def _batch(parts: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(column), pa.int64()) for column in zip(*parts)],
-        names=["anchor", "key", "first", "windows"],
+        names=["anchor", "key", "first", "windows", "places"],
     )
 
 
@@ -255,8 +276,8 @@ def removals(
 ) -> DataFrame:
     """(doc_id, key, spans): the intervals of repeated words of each document that has some.
 
-    1. Every window of a document is filed under its anchor. Anchors that occur once
-       in all documents hold no repeated window; the others name the candidates.
+    1. Every window of a document is filed under its anchor. Anchors that occur at one
+       place in all documents hold no repeated window; the others name the candidates.
     2. The candidates' words meet in shards by anchor, so that equal windows share
        a shard. Each shard builds an FM-index over its different segments and
        streams them through it by backward search.
@@ -269,8 +290,10 @@ def removals(
         F.col(id_column).alias("doc_id"), key.alias("key"), F.col(text_column).alias("text")
     )
     filed = _anchor_rows(rows.select("key", "text").where("text IS NOT NULL"), window, anchor)
-    counts = filed.groupBy("anchor").agg(F.count("*").alias("times"), F.max("anchor").alias("name"))
-    counts = counts.where("times > 1").select("name", "times")
+    counts = filed.groupBy("anchor").agg(
+        F.count("*").alias("times"), F.sum("places").alias("places"), F.max("anchor").alias("name")
+    )
+    counts = counts.where("places > 1").select("name", "times")
     spans = F.struct("anchor", "first", "windows", (F.col("times") > common).alias("common"))
     candidates = stored(
         filed.join(counts, filed["anchor"] == counts["name"])

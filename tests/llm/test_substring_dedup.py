@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm.fm_index import FMIndex
-from tallyloom.llm.substring_dedup import remove_repeats, without_repeats
+from tallyloom.llm.substring_dedup import anchors, remove_repeats, without_repeats
 
 
 def test_windows_match_exactly_those_with_equal_words():
@@ -80,6 +80,29 @@ def test_repeated_words_of_passages(passages, window, options):
         assert found == expected[row["doc_id"], row["text"]]
 
 
+@pytest.mark.parametrize("options", [{}, {"common": 0}])
+def test_passages_that_repeat_only_themselves(spark, options):
+    rows = [(period, " ".join(f"p{period}w{i % period}" for i in range(60))) for period in range(1, 16)]
+    rows += [(100, " ".join(["alone"] * 30)), (101, " ".join(f"x{i}" for i in range(60)))]
+    rows += [(102, "before " + " ".join(["long"] * 2500) + " after")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = brute_force(frame, 20)
+    assert expected[100, rows[15][1]][1] == 29 and expected[10, rows[9][1]][1] == 50
+    marked, names = without_repeats(frame, **options)
+    for row in marked.collect():
+        assert tuple(row[names[n]] for n in ("n_words", "n_removed", "kept")) == expected[row["doc_id"], row["text"]]
+
+
+def test_places_of_an_anchor_are_counted_within_its_run():
+    random.seed(8)
+    for words in [random.choices([b"a", b"b", b"c"], k=random.randint(20, 90)) for _ in range(60)] + [[b"a"] * 25]:
+        grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        for _, first, windows, places in zip(*anchors(words, 20, 3)):
+            inside = grams[first : first + windows + 17]
+            shared = [set(grams[at : at + 18]) for at in range(first, first + windows)]
+            assert any(inside.count(gram) == places for gram in set.intersection(*shared))
+
+
 def test_clean_texts_stay_as_they_are(passages, odd):
     expected = brute_force(odd, 20)
     for row in remove_repeats(odd).collect():
