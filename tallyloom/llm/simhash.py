@@ -145,6 +145,25 @@ def _components(nodes: DataFrame, max_distance: int, segments: int | None) -> Da
     return labelled.join(least, "label").select("fp", "component_id")
 
 
+def _grouped(
+    documents: DataFrame,
+    id_column: str,
+    text_column: str,
+    shingle: int,
+    max_distance: int,
+    segments: int | None,
+) -> DataFrame:
+    """(doc_id, fp, component_id) of every document."""
+    prints = stored(
+        documents.select(
+            F.col(id_column).alias("doc_id"), fingerprints(F.col(text_column), shingle).alias("fp")
+        )
+    )
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    groups = stored(_components(nodes, max_distance, segments))
+    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+
+
 def simhash_groups(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -159,14 +178,8 @@ def simhash_groups(
     null id is never a component's id unless the component has no other. Repeated
     rows come out as often as they came in. An empty table gives no rows.
     """
-    prints = stored(
-        documents.select(
-            F.col(id_column).alias("doc_id"), fingerprints(F.col(text_column), shingle).alias("fp")
-        )
-    )
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    groups = stored(_components(nodes, max_distance, segments))
-    return prints.join(groups, "fp").select(
+    groups = _grouped(documents, id_column, text_column, shingle, max_distance, segments)
+    return groups.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -181,15 +194,16 @@ def keep_one_of_group(
 ) -> DataFrame:
     """The documents without all of a near-duplicate group but the one with the smallest id.
 
-    Where rows share that id, one row of each distinct text of it stays. A null id
-    stays only in a group without other ids.
+    Each row is judged by its own text's group: rows that share an id, or have none,
+    may be in several groups. Rows of one group that share its smallest id all stay.
+    A null id stays only in a group without other ids.
     """
-    f, c = fresh(documents, "fp", "component_id")
-    groups = simhash_groups(documents, id_column, text_column, shingle, max_distance, segments)
+    f, i = fresh(documents, "fp", "same_id")
+    groups = _grouped(documents, id_column, text_column, shingle, max_distance, segments)
     dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias(c)
-    )
-    kept = documents.join(
-        stored(dropped.distinct()), documents[id_column].eqNullSafe(F.col(c)), "left_anti"
+        F.col("doc_id").alias(i), F.col("fp").alias(f"{f}_dropped")
     )
-    return kept.select(*documents.columns)
+    dropped = stored(dropped.distinct())
+    printed = documents.withColumn(f, fingerprints(F.col(text_column), shingle))
+    same = printed[id_column].eqNullSafe(dropped[i]) & (printed[f] == dropped[f"{f}_dropped"])
+    return printed.join(dropped, same, "left_anti").select(*documents.columns)

@@ -58,6 +58,20 @@ def test_groups_of_odd_documents(odd):
     assert {r["doc_id"] for r in kept.collect()} == {least[g] for g in set(group.values()) if g in least}
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(3000)) for x in "abcd")
+    rows = [
+        (1, a), (None, a + " more"), (None, b), (None, b + " more"), (None, c),  # null ids in three groups
+        (5, d), (5, "a text of its own"), (4, d + " more"), (7, None), (None, ""),
+    ]
+    for one, more in ((a, a + " more"), (b, b + " more"), (d, d + " more")):
+        assert (plain_fingerprint(one) ^ plain_fingerprint(more)).bit_count() <= 3
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    gone = [(None, a + " more"), (5, d), (None, "")]
+    kept = [tuple(row) for row in keep_one_of_group(documents).collect()]
+    assert sorted(kept, key=str) == sorted((row for row in rows if row not in gone), key=str)
+
+
 def test_empty_table(nothing):
     assert simhash_groups(nothing).collect() == []
     assert keep_one_of_group(nothing).collect() == []
