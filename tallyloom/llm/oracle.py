@@ -12,4 +12,128 @@ ORACLE_SQL = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ),
+        words AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words
+            FROM pieces
+        ),
+        starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM words),
+        counted AS (
+            SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, count(*) AS f
+            FROM starts, (SELECT unnest([1, 2, 3]) AS size)
+            WHERE i + size - 1 <= len(words)
+            GROUP BY ALL
+        ),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+        candidates AS (
+            SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS parts
+            FROM counted WHERE size > 1 AND f >= 10
+        ),
+        cuts AS (
+            SELECT lang, phrase, a, k,
+                   array_to_string(parts[1 : k], ' ') AS left_part,
+                   array_to_string(parts[k + 1 : size], ' ') AS right_part
+            FROM candidates, (SELECT unnest([1, 2]) AS k)
+            WHERE k < size
+        ),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r,
+                   ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score,
+                   row_number() OVER (
+                       PARTITION BY c.lang, c.phrase
+                       ORDER BY (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f), c.k
+                   ) AS cut
+            FROM cuts c
+            JOIN counted x ON x.lang = c.lang AND x.phrase = c.left_part
+            JOIN counted y ON y.lang = c.lang AND y.phrase = c.right_part
+        ),
+        inside AS (
+            SELECT lang, array_to_string(parts[i : i + 1], ' ') AS phrase, max(a) AS longer
+            FROM candidates, (SELECT unnest([1, 2]) AS i)
+            WHERE size = 3
+            GROUP BY ALL
+        ),
+        ranked AS (
+            SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+                   row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+            FROM scored s
+            LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+            WHERE s.cut = 1 AND (i.longer IS NULL OR 100 * i.longer < 50 * s.a)
+        )
+        SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+        FROM ranked r JOIN totals t ON t.lang = r.lang
+        WHERE r.rank <= 2000
+    """,
+    "op12_conversation_trie": """
+        WITH turns AS (
+            SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (
+                       PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+                   ) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        lengths AS (SELECT conv, count(*) AS turns FROM turns GROUP BY conv),
+        hashed AS (
+            SELECT conv, turns, conv - conv % 5 AS source,
+                   xor(list_reduce(
+                       list_prepend(4294967295::BIGINT,
+                           list_transform(string_split(conv::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+                       lambda crc, octet: list_reduce(
+                           list_prepend(xor(crc, octet), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                           lambda c, step: xor(c >> 1, 3988292384::BIGINT * (c & 1)))),
+                       4294967295::BIGINT) % 9 AS h
+            FROM lengths
+        ),
+        plan AS (
+            SELECT x.conv, x.source, x.h, least(x.h, coalesce(s.turns, 0)) AS opening
+            FROM hashed x LEFT JOIN lengths s ON s.conv = x.source
+        ),
+        rebuilt AS (
+            SELECT p.conv, t.place, t.role, t.text
+            FROM plan p JOIN turns t ON t.conv = p.source AND t.place <= p.opening
+            UNION ALL
+            SELECT p.conv, p.opening + t.place - p.h, t.role, t.text
+            FROM plan p JOIN turns t ON t.conv = p.conv AND t.place > p.h
+        ),
+        prefixes AS (
+            SELECT conv, place AS depth, strlen(text) AS bytes,
+                   string_agg(strlen(role) || ':' || strlen(text) || ':' || role || text, '')
+                       OVER (PARTITION BY conv ORDER BY place) AS key,
+                   place = max(place) OVER (PARTITION BY conv) AS last
+            FROM rebuilt
+            UNION ALL
+            SELECT conv, 0, 0, '', conv NOT IN (SELECT conv FROM rebuilt) FROM plan
+        ),
+        linked AS (
+            SELECT *, lag(key) OVER (PARTITION BY conv ORDER BY depth) AS parent FROM prefixes
+        ),
+        nodes AS (
+            SELECT key, depth, min(conv) AS conv, any_value(parent) AS parent, count(*) AS n_convs,
+                   any_value(bytes) AS bytes,
+                   sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (WHERE last), '')) AS ends
+            FROM linked GROUP BY key, depth
+        ),
+        children AS (SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+        counted AS (
+            SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.parent = n.key
+        ),
+        summed AS (
+            SELECT p.key, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves,
+                   sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved
+            FROM counted n JOIN prefixes p ON p.conv = n.conv AND p.depth <= n.depth
+            GROUP BY p.key
+        )
+        SELECT n.conv AS conv_id, n.depth, u.conv AS parent_conv_id, n.n_convs, n.n_children,
+               s.n_leaves, s.saved AS saved_tokens, n.ends AS ends_sha256
+        FROM counted n
+        JOIN summed s ON s.key = n.key
+        LEFT JOIN nodes u ON n.depth > 0 AND u.key = n.parent
+    """,
 }

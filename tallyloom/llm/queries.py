@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe_codec import digests
+from tallyloom.llm.collocations import collocations
+from tallyloom.llm.conversation_trie import conversation_trie
 from tallyloom.llm.embedding_dedup import near_vectors
 from tallyloom.llm.exact_dedup import exact_duplicates
 from tallyloom.llm.packing import packed
@@ -85,6 +87,16 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(
+        _table(spark, folder, "documents"), max_words=3, min_count=10, inside_percent=50, top=2000
+    )
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(_table(spark, folder, "conversations"), group=5, spread=9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -96,4 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_conversation_trie": op12_conversation_trie,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,25 @@ def stored(frame: DataFrame) -> DataFrame:
         return frame.select("*").checkpoint()
 
 
+@contextmanager
+def written(frame: DataFrame):
+    """The frame's rows as Parquet in the shared checkpoint folder, for as long as the block lasts.
+
+    Parquet is several times smaller than a checkpoint; what the block returns must not
+    read the rows any more.
+    """
+    spark = frame.sparkSession
+    ensure_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    with _shuffles_dropped(spark):
+        frame.select("*").write.parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fresh(frame: DataFrame, *names: str) -> list[str]:
     """The names, each with underscores added until no column of the frame has it."""
     taken = {column.lower() for column in frame.columns}
