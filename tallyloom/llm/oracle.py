@@ -136,4 +136,49 @@ ORACLE_SQL = {
         JOIN summed s ON s.key = n.key
         LEFT JOIN nodes u ON n.depth > 0 AND u.key = n.parent
     """,
+    "op13_suffix_dedup": """
+        WITH texts AS (
+            SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS octets,
+                   strlen(coalesce(text, '')) AS n_bytes
+            FROM documents
+        ),
+        blocks AS (
+            SELECT rid, octets, n_bytes, unnest(range(0, n_bytes - 199, 500)) AS base
+            FROM texts WHERE n_bytes >= 200
+        ),
+        parts AS (
+            SELECT rid, base, substr(octets, 2 * base + 1, 1398) AS part,
+                   unnest(range(least(500, n_bytes - 199 - base))) AS i
+            FROM blocks
+        ),
+        digests AS (SELECT rid, base + i AS s, md5_number(substr(part, 2 * i + 1, 400)) AS digest FROM parts),
+        repeated AS (
+            SELECT rid, s FROM digests
+            WHERE digest IN (SELECT digest FROM digests GROUP BY digest HAVING count(*) > 1)
+        ),
+        marked AS (
+            SELECT rid, s, coalesce(s > lag(s) OVER (PARTITION BY rid ORDER BY s) + 200, true) AS begins
+            FROM repeated
+        ),
+        numbered AS (
+            SELECT rid, s, sum(begins::INT) OVER (PARTITION BY rid ORDER BY s) AS run FROM marked
+        ),
+        runs AS (
+            SELECT rid, run, min(s) AS first, max(s) + 200 AS stop FROM numbered GROUP BY rid, run
+        ),
+        kept AS (
+            SELECT r.rid, r.run, r.stop - r.first AS gone,
+                   substr(t.octets, 2 * coalesce(lag(r.stop) OVER (PARTITION BY r.rid ORDER BY r.run), 0) + 1,
+                          2 * (r.first - coalesce(lag(r.stop) OVER (PARTITION BY r.rid ORDER BY r.run), 0))) AS part
+            FROM runs r JOIN texts t ON t.rid = r.rid
+        ),
+        sums AS (
+            SELECT k.rid, sum(k.gone)::BIGINT AS n_removed, count(*) AS n_spans,
+                   string_agg(k.part, '' ORDER BY k.run) AS head, max(r.stop) AS stop
+            FROM kept k JOIN runs r ON r.rid = k.rid AND r.run = k.run GROUP BY k.rid
+        )
+        SELECT t.doc_id, t.n_bytes, coalesce(s.n_removed, 0) AS n_removed, coalesce(s.n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(s.head, '') || substr(t.octets, 2 * coalesce(s.stop, 0) + 1))) AS kept_sha256
+        FROM texts t LEFT JOIN sums s ON s.rid = t.rid
+    """,
 }

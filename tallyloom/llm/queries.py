@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe_codec import digests
+from tallyloom.llm.byte_dedup import without_repeated_bytes
 from tallyloom.llm.collocations import collocations
 from tallyloom.llm.conversation_trie import conversation_trie
 from tallyloom.llm.embedding_dedup import near_vectors
@@ -97,6 +98,17 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie(_table(spark, folder, "conversations"), group=5, spread=9)
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    marked, names = without_repeated_bytes(_table(spark, folder, "documents"), width=200)
+    return marked.select(
+        "doc_id",
+        F.col(names["n_bytes"]).alias("n_bytes"),
+        F.col(names["n_removed"]).alias("n_removed"),
+        F.col(names["n_spans"]).alias("n_spans"),
+        F.sha2(names["kept"], 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -110,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_collocations": op11_collocations,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
