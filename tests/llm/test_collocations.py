@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_support import ODD_DOCUMENTS, plan_of
+from pyspark.sql import functions as F
+
+from tallyloom.llm.collocations import _Hashes, chunks, collocations, phrase_counts, tokens_of
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def pieces(text):
+    parts = re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER))
+    return [words for words in (re.findall(r"[^\x20\x09]+", part) for part in parts) if words]
+
+
+def brute_force(rows, max_words=3, min_count=10, percent=50, top=2000):
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for words in pieces(text):
+            n[lang] += len(words)
+            for size in range(1, max_words + 1):
+                for i in range(len(words) - size + 1):
+                    f[lang, tuple(words[i : i + size])] += 1
+    candidates = {k: v for k, v in f.items() if len(k[1]) > 1 and v >= min_count}
+    found = {}
+    for (lang, words), a in candidates.items():
+        longer = [
+            b
+            for (other, held), b in candidates.items()
+            if other == lang and len(held) > len(words)
+            and any(held[i : i + len(words)] == words for i in range(len(held)))
+        ]
+        if any(100 * b >= percent * a for b in longer):
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, words[:k]], f[lang, words[k:]]
+            cuts.append((1000000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    return {
+        (lang, rank, phrase.decode(), -a, left, right, n[lang], -score)
+        for lang, rows in found.items()
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:top], 1)
+    }
+
+
+def made(count, seed, words="abcde"):
+    random.seed(seed)
+    rows = []
+    for _ in range(count):
+        body = [random.choice(words) * random.choice((1, 1, 1, 2)) for _ in range(random.randint(0, 60))]
+        ends = [random.choice((" ", " ", " ", "  ", "\t", ". ", ",", "\n", " É ", "\x0b")) for _ in body]
+        rows.append((random.choice(("en", "de", None, "und")), "".join(map("".join, zip(body, ends)))))
+    return rows
+
+
+@pytest.mark.parametrize("overlap", [1, 2, 3])
+def test_chunks_start_every_phrase_once(overlap):
+    texts = [text for _, text in made(30, 3)] + ["x " * 700]
+    tokens = [token for text in texts for token in [*tokens_of(text), b"."]]
+    found = Counter(chunks(tokens, _Hashes(), overlap, modulus=4, longest=50))
+    counted = phrase_counts(
+        [body for body, _ in found],
+        np.array([own for _, own in found]),
+        np.array(list(found.values())),
+        range(1, overlap + 2),
+    )
+    expected = Counter()
+    for text in texts:
+        for words in pieces(text):
+            for size in range(1, overlap + 2):
+                expected.update(" ".join(words[i : i + size]).encode() for i in range(len(words) - size + 1))
+    assert counted == expected
+    assert max(len(body.split()) for body, _ in found) <= 50 + overlap
+
+
+def test_equal_passages_make_equal_chunks():
+    random.seed(8)
+    passage = " ".join(str(random.randint(0, 500)) for _ in range(300))
+    one, other = (
+        {body for body, _ in chunks(tokens_of(text), _Hashes(), 2)}
+        for text in (f"some words before {passage} after", f"{passage} and others")
+    )
+    assert len(one & other) >= len(one) - 3
+
+
+@pytest.mark.parametrize("max_words, bits", [(2, 64), (3, 64), (3, 1 << 12), (4, 1 << 12)])
+def test_same_as_brute_force(spark, max_words, bits):
+    rows = made(120, max_words)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    found = collocations(frame, max_words=max_words, min_count=4, inside_percent=30, top=25, filter_bits=bits)
+    assert {tuple(row) for row in found.collect()} == brute_force(rows, max_words, 4, 30, 25)
+
+
+def test_large_counts_are_exact(spark):
+    from tallyloom.llm.collocations import _best_cuts
+
+    rows = [("en", "a b", 3 * 10**9 + 1), ("en", "a", 4 * 10**9 + 7), ("en", "b", 10**15 + 3)]
+    counts = spark.createDataFrame(rows, "lang string, phrase string, f bigint")
+    best = _best_cuts(counts.where("phrase = 'a b'").withColumnRenamed("f", "a"), counts).first()
+    assert best.score == 1000000 * rows[0][2] ** 2 // (rows[1][2] * rows[2][2])
+
+
+def test_odd_documents_and_clashing_columns(spark, odd, nothing):
+    named = odd.withColumns({name: F.lit("x") for name in ("phrase", "rank", "f", "chunk", "meta.lang")})
+    named = named.withColumn("lang", F.when(F.col("doc_id") > 2, "en"))
+    found = collocations(named, min_count=2)
+    langs = {1: None, 2: None, None: None}
+    expected = brute_force([(langs.get(i, "en"), text) for i, text in ODD_DOCUMENTS], min_count=2)
+    assert {tuple(row) for row in found.collect()} == expected
+    empty = collocations(nothing.withColumn("lang", F.lit("en")))
+    assert empty.collect() == [] and empty.columns[:3] == ["lang", "rank", "phrase"]
+    assert "CartesianProduct" not in plan_of(found) and "NestedLoop" not in plan_of(found)
