@@ -4,25 +4,27 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.storage import stored, written
 
-#: One in so many sequences of ``max_words - 1`` words triggers a cut.
-MODULUS = 12
-#: Words after which a stretch without triggers is cut.
-LONGEST = 256
-#: Words whose chunks, or whose phrases, a task combines at a time.
-BLOCK = 1_000_000
+#: One in so many sequences of ``max_words - 1`` tokens triggers a cut.
+MODULUS = 48
+#: Tokens after which a stretch without triggers is cut.
+LONGEST = 1024
+#: Tokens whose chunks, or whose phrases, a task combines at a time; below 2 ** 31.
+BLOCK = 2_000_000
 #: Bits of the filter of frequent phrases, a power of two; 8 MB.
 FILTER_BITS = 1 << 26
 #: Parts in which a language's phrases are ranked before the best of each meet.
-SALTS = 64
+SALTS = 16
 
 _SIGNS = b",;:!?\n\x0b\x0c\r"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -37,52 +39,69 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 class _Hashes(dict):
+    """Hashes of words, forgotten when there are very many."""
+
     def __missing__(self, word: bytes) -> int:
         if len(self) > 1_000_000:
             self.clear()
-        value = 0 if word == _STOP else xxhash.xxh64_intdigest(word) or 1
-        self[word] = value
+        value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
-def chunks(tokens: list[bytes], hashes: dict, overlap: int, modulus: int = MODULUS, longest: int = LONGEST):
-    """(chunk, own) of the pieces: a chunk's bytes, and how many phrases start in it.
+class _Numbers(dict):
+    """Numbers of words in the order in which they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+def _mixed(hashed: np.ndarray) -> np.ndarray:
+    hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return hashed ^ (hashed >> np.uint64(32))
+
 
-    A chunk runs from one trigger to the next and takes the trigger's ``overlap`` words
+def _sequence_hashes(hashed: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on, from the hashes of the words."""
+    values = hashed[at]
+    for i in range(1, size):
+        values = values * np.uint64(0x9E3779B97F4A7C15) + hashed[at + i]
+    return _mixed(values)
+
+
+def chunks(
+    texts: list[list[bytes]], hashes: dict, overlap: int, modulus: int = MODULUS, longest: int = LONGEST
+) -> list[tuple[bytes, int]]:
+    """(chunk, own) of the tokens of texts: a chunk's tokens, and how many are its own.
+
+    A chunk runs from one trigger to the next and takes the trigger's ``overlap`` tokens
     along, so every phrase of up to ``overlap + 1`` words lies wholly in the chunk where
-    it starts. Phrases that start in the words taken along are the next chunk's own.
-    Whether words are a trigger depends on them alone: equal passages give equal chunks.
+    it starts. The tokens taken along are the next chunk's own. Whether tokens are a
+    trigger depends on them alone: equal passages give equal chunks.
     """
-    hashed = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
-    held = np.flatnonzero(hashed)
-    if not len(held):
+    tokens = list(chain.from_iterable(texts))
+    if not tokens:
         return []
-    words = [tokens[i] for i in held.tolist()] if len(held) < len(tokens) else tokens
-    hashed, piece = hashed[held], np.cumsum(hashed == 0)[held]
-    total = len(words)
-    begins = np.concatenate(([True], piece[1:] != piece[:-1]))
-    ends = np.append(np.flatnonzero(begins)[1:], total)  # by piece
-    end = np.repeat(ends, np.diff(np.append(np.flatnonzero(begins), total)))
-    if overlap:
-        mixed = hashed.copy()
-        mixed[total - overlap + 1 :] = 1
-        for i in range(1, overlap):
-            mixed[: total - i] = mixed[: total - i] * np.uint64(0x9E3779B97F4A7C15) + hashed[i:]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        trigger = ((mixed >> np.uint64(32)) % np.uint64(modulus) == 0) & (np.arange(total) + overlap <= end)
-    else:
-        trigger = np.ones(total, bool)
-    first = np.flatnonzero(begins | trigger)
+    total, sizes = len(tokens), np.array(list(map(len, texts)))
+    end = np.repeat(np.cumsum(sizes), sizes)
+    begins = np.zeros(total + 1, bool)
+    begins[np.cumsum(sizes)] = True
+    begins[0] = True
+    if overlap and total >= overlap:
+        hashed = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, total)
+        at = np.arange(total - overlap + 1)
+        trigger = _sequence_hashes(hashed, at, overlap) % np.uint64(modulus) == 0
+        begins[at[trigger & (at + overlap <= end[at])]] = True
+    elif not overlap:
+        begins[::modulus] = True
+    first = np.flatnonzero(begins[:total])
     length = np.diff(np.append(first, total))
     times = -(-length // longest)
     step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     first = np.repeat(first, times) + step * longest
     own = np.diff(np.append(first, total))
     last = np.minimum(first + own + overlap, end[first])
-    return [
-        (b" ".join(words[a:b]), n) for a, b, n in zip(first.tolist(), last.tolist(), own.tolist())
-    ]
+    return [(b" ".join(tokens[a:b]), n) for a, b, n in zip(first.tolist(), last.tolist(), own.tolist())]
 
 
 def _dictionary(rows: DataFrame, overlap: int, modulus: int, longest: int) -> DataFrame:
@@ -93,10 +112,8 @@ def _dictionary(rows: DataFrame, overlap: int, modulus: int, longest: int) -> Da
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tokens = tokens_of(text.as_py())
-                held = waiting.setdefault(lang, [])
-                held.extend(tokens)
-                held.append(_STOP)
-                size += len(tokens) + 1
+                waiting.setdefault(lang, []).append(tokens)
+                size += len(tokens)
                 if size > BLOCK:
                     yield counted(waiting, hashes)
                     waiting, size = {}, 0
@@ -105,8 +122,8 @@ def _dictionary(rows: DataFrame, overlap: int, modulus: int, longest: int) -> Da
 
     def counted(waiting: dict, hashes: dict) -> pa.RecordBatch:
         langs, bodies, owns, times = [], [], [], []
-        for lang, tokens in waiting.items():
-            found = Counter(chunks(tokens, hashes, overlap, modulus, longest))
+        for lang, texts in waiting.items():
+            found = Counter(chunks(texts, hashes, overlap, modulus, longest))
             langs += [lang] * len(found)
             bodies += [body for body, _ in found]
             owns += [own for _, own in found]
@@ -121,14 +138,16 @@ def _dictionary(rows: DataFrame, overlap: int, modulus: int, longest: int) -> Da
     return parsed.groupBy("lang", "chunk", "own").agg(F.sum("times").alias("times"))
 
 
-def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(different keys, their weights, number of each key), exactly."""
+def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys, sums of their weights), exactly."""
+    if weights.sum() <= 2 * len(keys):  # few occur more than once: no need to carry weights
+        keys = np.sort(np.repeat(keys, weights))
+        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[new], np.diff(np.append(new, len(keys)))
     order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-    number = np.empty(len(keys), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return ranked[new], np.add.reduceat(weights[order], np.flatnonzero(new)), number
+    keys = keys[order]
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[new], np.add.reduceat(weights[order], new)
 
 
 def phrase_counts(
@@ -136,55 +155,72 @@ def phrase_counts(
     own: np.ndarray,
     times: np.ndarray,
     sizes: range,
-    passed: Callable[[list[bytes]], np.ndarray] | None = None,
-) -> dict[bytes, int]:
-    """How often the phrases of ``sizes`` words start in the chunks' own words.
+    passed: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> tuple[pa.Array, np.ndarray]:
+    """(phrases, counts): how often phrases of ``sizes`` words start in the chunks' own tokens.
 
-    ``passed`` tells for phrases of one word less than the longest whether they may be
-    part of a counted one.
+    ``passed`` tells from the hash of a phrase of one word less than the longest whether
+    it may be part of a counted one.
     """
-    words = b" . ".join(bodies).split()
-    numbers: dict[bytes, int] = {}
-    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    tokens = b" . ".join(bodies).split(b" ")
+    numbers = _Numbers()
+    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
     names = list(numbers)
-    stops = ids == numbers.get(_STOP, -1)
-    chunk, breaks = np.cumsum(stops), np.flatnonzero(stops)
-    end = np.append(breaks, len(ids))[chunk]
-    own_end = (np.concatenate(([0], breaks + 1)) + own)[chunk]
-    weight = times[chunk]
-    kept, phrases, of = np.flatnonzero(~stops), names, ids  # of: the phrase at each place
-    counts: dict[bytes, int] = {}
+    lengths = np.array([body.count(b" ") + 1 for body in bodies])
+    first = np.cumsum(lengths + 1) - lengths - 1
+    weight = np.zeros(len(ids), np.int64)  # of the phrases that start at each place
+    place = np.arange(int(own.sum())) + np.repeat(first - np.cumsum(own) + own, own)
+    weight[place] = np.repeat(times, own)
+    word = np.append(ids != numbers.get(_STOP, -1), False)
+    hashed = None
+    if passed:
+        hashed = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))[ids]
+    words, phrases, counts = pa.array(names, pa.binary()), [], []
+    kept = np.flatnonzero((weight > 0) & word[:-1])
     for size in range(1, sizes.stop):
         if size > 1:
-            kept = kept[kept + size <= end[kept]]
-            if passed and size == sizes.stop - 1 and len(kept):
-                allowed = passed(phrases)
-                kept = kept[allowed[of[kept]] & allowed[of[kept + 1]]]
+            kept = kept[word[kept + size - 1]]
+        if size not in sizes or not len(kept):
+            continue
+        if size > 1 and passed:
+            kept = kept[passed(_sequence_hashes(hashed, kept, size - 1))]
+            kept = kept[passed(_sequence_hashes(hashed, kept + 1, size - 1))]
             if not len(kept):
-                break
-            pairs, _, number = _summed((of[kept] << 32) | ids[kept + size - 1], weight[kept])
-            of = np.zeros(len(ids), np.int64)
-            of[kept] = number
-            parts = zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist())
-            phrases = [phrases[a] + b" " + names[b] for a, b in parts]
-        if size in sizes:
-            starting = kept[kept < own_end[kept]]
-            if len(starting):
-                found, sums, _ = _summed(of[starting], weight[starting])
-                counts.update(zip((phrases[i] for i in found.tolist()), sums.tolist()))
-    return counts
+                continue
+        codes, parts = ids[kept], [np.arange(len(names))]
+        for i in range(1, size):
+            pairs = (codes << 32) | ids[kept + i]
+            if i < size - 1:
+                different, codes = np.unique(pairs, return_inverse=True)
+            else:
+                different, sums = _summed(pairs, weight[kept])
+            parts = [part[different >> 32] for part in parts] + [different & 0xFFFFFFFF]
+        if size == 1:
+            different, sums = _summed(codes, weight[kept])
+            parts = [different]
+        columns = [words.take(pa.array(part)) for part in parts]
+        phrases.append(pc.binary_join_element_wise(*columns, b" ") if size > 1 else columns[0])
+        counts.append(sums)
+    if not phrases:
+        return pa.array([], pa.binary()), np.zeros(0, np.int64)
+    return pa.concat_arrays(phrases), np.concatenate(counts)
+
+
+def _places(hashed: np.ndarray, lang: str, bits: int) -> np.ndarray:
+    """The bit that stands for each phrase of a language, by the hash of its words."""
+    own = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    return (_mixed(hashed + own) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def _counts(dictionary: DataFrame, sizes: range, bits: np.ndarray | None = None) -> DataFrame:
     """(lang, phrase, f) of the phrases of all different chunks; phrase '' counts words."""
     shared = None if bits is None else dictionary.sparkSession.sparkContext.broadcast(bits)
 
-    def filtered(lang: str) -> Callable[[list[bytes]], np.ndarray]:
-        before, digest, bits = lang.encode() + b"\0", xxhash.xxh64_intdigest, shared.value
+    def filtered(lang: str) -> Callable[[np.ndarray], np.ndarray]:
+        bits = shared.value
 
-        def passed(phrases: list[bytes]) -> np.ndarray:
-            hashed = np.fromiter((digest(before + x, 42) for x in phrases), np.uint64, len(phrases))
-            at = (hashed & np.uint64(len(bits) * 64 - 1)).astype(np.int64)
+        def passed(hashed: np.ndarray) -> np.ndarray:
+            at = _places(hashed, lang, len(bits) * 64)
             return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
         return passed
@@ -207,17 +243,19 @@ def _counts(dictionary: DataFrame, sizes: range, bits: np.ndarray | None = None)
         own, times = table["own"].to_numpy(), table["times"].to_numpy()
         for lang in sorted(set(langs)):
             of = langs == lang
-            found = phrase_counts(bodies[of].tolist(), own[of], times[of], sizes, shared and filtered(lang))
-            if sizes.start == 1:
-                found[b""] = int((own[of] * times[of]).sum())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(found), pa.string()),
-                    pa.array(list(found), pa.binary()).cast(pa.string()),
-                    pa.array(list(found.values()), pa.int64()),
-                ],
-                names=["lang", "phrase", "f"],
+            phrases, counts = phrase_counts(
+                bodies[of].tolist(), own[of], times[of], sizes, shared and filtered(lang)
             )
+            if sizes.start == 1 and len(counts):
+                single = np.array(pc.count_substring(phrases, b" ")) == 0
+                phrases = pa.concat_arrays([phrases, pa.array([b""], pa.binary())])
+                counts = np.append(counts, counts[single].sum())
+            for at in range(0, len(counts), 100_000):
+                rows = phrases.slice(at, 100_000).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(rows), pa.string()), rows, pa.array(counts[at : at + 100_000], pa.int64())],
+                    names=["lang", "phrase", "f"],
+                )
 
     counted = dictionary.mapInArrow(count, "lang string, phrase string, f bigint")
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -228,12 +266,20 @@ def _words(phrase: str) -> Column:
 
 
 def _filter(phrases: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the hashes of (lang, phrase): whatever its number of rows, of one size."""
-    at = F.xxhash64(F.concat("lang", F.lit("\0"), "phrase")).bitwiseAND(F.lit(bits - 1))
-    words = phrases.select(at.alias("at")).select(
-        F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("bit")
-    )
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    """Bits for the phrases (lang, phrase): an array of one size, whatever their number."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            at = np.zeros(batch.num_rows, np.int64)
+            for i, (lang, phrase) in enumerate(zip(*(column.to_pylist() for column in batch.columns))):
+                words = np.array([hashes[word] for word in phrase.encode().split(b" ")], np.uint64)
+                at[i] = _places(_sequence_hashes(words, np.zeros(1, np.int64), len(words)), lang, bits)[0]
+            words, bit = pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))
+            yield pa.RecordBatch.from_arrays([words, bit], names=["word", "bit"])
+
+    placed = phrases.select("lang", "phrase").mapInArrow(place, "word bigint, bit bigint")
+    found = placed.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     array = np.zeros(bits // 64, np.int64)
     array[found["word"].to_numpy()] = found["bits"].to_numpy()
     return array

@@ -62,12 +62,11 @@ def made(count, seed, words="abcde"):
     return rows
 
 
-@pytest.mark.parametrize("overlap", [1, 2, 3])
+@pytest.mark.parametrize("overlap", [0, 1, 2, 3])
 def test_chunks_start_every_phrase_once(overlap):
     texts = [text for _, text in made(30, 3)] + ["x " * 700]
-    tokens = [token for text in texts for token in [*tokens_of(text), b"."]]
-    found = Counter(chunks(tokens, _Hashes(), overlap, modulus=4, longest=50))
-    counted = phrase_counts(
+    found = Counter(chunks(list(map(tokens_of, texts)), _Hashes(), overlap, modulus=4, longest=50))
+    phrases, counts = phrase_counts(
         [body for body, _ in found],
         np.array([own for _, own in found]),
         np.array(list(found.values())),
@@ -78,18 +77,18 @@ def test_chunks_start_every_phrase_once(overlap):
         for words in pieces(text):
             for size in range(1, overlap + 2):
                 expected.update(" ".join(words[i : i + size]).encode() for i in range(len(words) - size + 1))
-    assert counted == expected
+    assert dict(zip(phrases.to_pylist(), counts.tolist())) == expected
     assert max(len(body.split()) for body, _ in found) <= 50 + overlap
 
 
 def test_equal_passages_make_equal_chunks():
     random.seed(8)
-    passage = " ".join(str(random.randint(0, 500)) for _ in range(300))
+    passage = " ".join(str(random.randint(0, 500)) for _ in range(600))
     one, other = (
-        {body for body, _ in chunks(tokens_of(text), _Hashes(), 2)}
+        {body for body, _ in chunks([tokens_of(text)], _Hashes(), 2, modulus=12)}
         for text in (f"some words before {passage} after", f"{passage} and others")
     )
-    assert len(one & other) >= len(one) - 3
+    assert len(one) > 20 and len(one & other) >= len(one) - 2
 
 
 @pytest.mark.parametrize("max_words, bits", [(2, 64), (3, 64), (3, 1 << 12), (4, 1 << 12)])
