@@ -440,3 +440,30 @@ ORACLE_SQL["stored_reports"] = f"""
         FROM ({ORACLE_SQL['mart_end_to_end']}) GROUP BY ALL
     )
     SELECT *, 'report' AS origin FROM totals UNION ALL SELECT *, 'view' AS origin FROM totals"""
+
+ORACLE_SQL["landed_workbooks"] = f"SELECT *, TRUE AS stamped FROM ({ORACLE_SQL['workbook_ingest']})"
+ORACLE_SQL["repeated_runs"] = f"""
+    SELECT run_id, country, count(*) AS enriched_rows, TRUE AS stamped,
+           count(DISTINCT customer_id) AS customer_id_distinct_count
+    FROM ({ORACLE_SQL['enriched_customers']}), (VALUES ('first'), ('second')) AS runs(run_id)
+    GROUP BY run_id, country"""
+ORACLE_SQL["quarantined_rows"] = """
+    WITH judged AS (
+        SELECT *, CASE WHEN l_quantity = 7 THEN 'bad value in Quantity'
+                       WHEN l_quantity = 11 THEN 'other number of fields'
+                       WHEN l_suppkey % 7 = 0 THEN 'header in another order'
+                       ELSE 'landed' END AS reason
+        FROM lineitem
+    )
+    SELECT reason, count(*) AS row_count,
+           CASE WHEN reason = 'header in another order' THEN 0 ELSE count(*) END AS as_delivered,
+           CASE WHEN reason = 'landed' THEN CAST(sum(l_quantity) AS BIGINT) END AS quantity,
+           (SELECT count(*) FROM judged WHERE reason = 'landed') AS reported
+    FROM judged GROUP BY reason"""
+ORACLE_SQL["mergeable_distinct_counts"] = """
+    SELECT 'order_year' AS dimension, CAST(year(o_orderdate) AS BIGINT) AS value,
+           count(DISTINCT o_orderkey) AS exact_orders, TRUE AS within_bound
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
+    UNION ALL
+    SELECT 'customer_id', CAST(o_custkey AS BIGINT), count(DISTINCT o_orderkey), TRUE
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""

@@ -10,8 +10,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.rawfiles import pack_workbooks, write_csv, write_json_arrays
-from checks.star import line_profit, profit_by_grain, table
+from checks.rawfiles import pack_workbooks, write_csv, write_json_arrays, write_workbooks
+from checks.star import line_profit, order_lines, profit_by_grain, table
 from tallyloom import (
     AggregateSpec,
     CleanRules,
@@ -38,6 +38,7 @@ from tallyloom.operators import (
     rollup,
     snake_case_columns,
     trim_strings,
+    with_estimates,
 )
 from tallyloom.plans import (
     EmptyTableError,
@@ -60,7 +61,7 @@ from tallyloom.retail import (
     orders_with,
 )
 from tallyloom.session import scratch_folder
-from tallyloom.sinks import create_database, qualified
+from tallyloom.sinks import RUN_COLUMN, create_database, qualified
 from tallyloom.sources import declared_schema, parse_workbooks, read_source, source_path
 from tallyloom.sources.files import BATCH_COLUMN
 
@@ -184,6 +185,37 @@ def summed_counts(spark: SparkSession, folder: str) -> DataFrame:
     return reaggregate(stored, ["l_returnflag"], ["l_orderkey_count", "total_l_quantity"])
 
 
+@query("mergeable_distinct_counts")
+def mergeable_distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct orders by customer and by year from one stored aggregate's sketches.
+
+    Beside each exact count, taken from the lines, stands whether the estimate from the
+    united sketches is within 5 %, three standard errors, of it.
+    """
+    lines = order_lines(spark, folder)
+    spec = AggregateSpec(
+        table="orders_by_grain",
+        source="orders",
+        group_by=("order_year", "category", "customer_id"),
+        metrics=(Metric("order_id", "distinctSketch"), Metric("profit", "sum")),
+    )
+    stored = aggregate(lines, spec)
+    answers = []
+    for dimension in ("order_year", "customer_id"):
+        exact = AggregateSpec("exact", "orders", (dimension,), (Metric("order_id", "countDistinct"),))
+        united = with_estimates(reaggregate(stored, [dimension], ["order_id_distinct_sketch"]))
+        close = F.abs(F.col("order_id_distinct_estimate") / F.col("order_id_distinct_count") - 1) <= 0.05
+        answers.append(
+            aggregate(lines, exact).join(united, dimension).select(
+                F.lit(dimension).alias("dimension"),
+                F.col(dimension).cast("bigint").alias("value"),
+                F.col("order_id_distinct_count").alias("exact_orders"),
+                close.alias("within_bound"),
+            )
+        )
+    return answers[0].unionByName(answers[1])
+
+
 # --- batches, renames and cleaning ------------------------------------------
 
 
@@ -670,6 +702,107 @@ def appended_enriched_batches(spark: SparkSession, folder: str) -> DataFrame:
     return _answer(stored, layout)
 
 
+def _landed_customers(spark: SparkSession, folder: str) -> Layout:
+    """Customers delivered as workbooks and landed as the raw layer lands them."""
+    layout = _new_layout(spark)
+    files = f"{layout.location}/files"
+    write_workbooks(customer_rows(spark, folder), source_path(files, CUSTOMER_SOURCE))
+    run_raw(spark, [CUSTOMER_SOURCE], files, layout, LOADED_AT)
+    return layout
+
+
+@query("landed_workbooks")
+def landed_workbooks(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table of customers that were delivered as workbooks, with its load time."""
+    layout = _landed_customers(spark, folder)
+    stored = spark.table(qualified(layout.raw, CUSTOMER_SOURCE.table))
+    at_load = (F.col(BATCH_COLUMN) == F.lit(LOADED_AT)).alias("stamped")
+    return _answer(snake_case_columns(stored.select("*", at_load).drop(BATCH_COLUMN)), layout)
+
+
+@query("repeated_runs")
+def repeated_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs add the customers to the enriched and aggregated tables; the second runs three times."""
+    layout = _landed_customers(spark, folder)
+    sink = SinkSpec(mode="append")
+    per_country = AggregateSpec(
+        "customers_by_country", "customers", ("country",), (Metric("customer_id", "countDistinct"),), sink=sink
+    )
+    for run in ("first", "second", "second", "second"):
+        run_enriched(spark, [replace(CUSTOMERS, sink=sink)], layout, LOADED_AT, run)
+        run_aggregated(spark, [per_country], layout, run)
+    rows = spark.table(qualified(layout.enriched, CUSTOMERS.table))
+    stored = spark.table(qualified(layout.aggregated, per_country.table))
+    enriched = rows.groupBy(RUN_COLUMN, "country", PROCESSED_COLUMN).agg(F.count("*").alias("enriched_rows"))
+    enriched = enriched.withColumn("stamped", F.col(PROCESSED_COLUMN) == F.lit(LOADED_AT)).drop(PROCESSED_COLUMN)
+    return _answer(enriched.join(stored, [RUN_COLUMN, "country"], "full"), layout)
+
+
+def _bad_lines(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Order lines as CSV text by kind of file: most fit, some do not, one file is swapped."""
+    lines = table(spark, folder, "lineitem").select(
+        F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("line"),
+        F.concat(F.lit('"'), "l_linestatus", F.lit(', ""'), "l_returnflag", F.lit('"""')).alias("mode"),
+        F.when(F.col("l_quantity") == 7, F.lit("seven")).otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+        F.when(F.col("l_quantity") == 11, F.concat("l_extendedprice", F.lit(",0"))).otherwise(F.col("l_extendedprice").cast("string")).alias("price"),
+        (F.col("l_suppkey") % 7 == 0).alias("swapped"),
+    )
+    right = lines.where("NOT swapped").select(F.concat_ws(",", "line", "mode", "quantity", "price").alias("value"))
+    wrong = lines.where("swapped").select(F.concat_ws(",", "mode", "line", "quantity", "price").alias("value"))
+    return {"Line,Mode,Quantity,Price": right, "Mode,Line,Quantity,Price": wrong}
+
+
+@query("quarantined_rows")
+def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines that land, and those in quarantine for a bad number, a field too many or their header."""
+    layout = _new_layout(spark)
+    source = SourceSpec(
+        table="lines",
+        format="csv",
+        file_name="Lines",
+        columns=(("Line", "string"), ("Mode", "string"), ("Quantity", "int"), ("Price", "double")),
+        key=("Line",),
+        options=PRODUCT_SOURCE.options,
+        quarantine=True,
+    )
+    path = source_path(f"{layout.location}/files", source)
+    for header, lines in _bad_lines(spark, folder).items():
+        with_header = lines.mapInPandas(_headed(header), "value string")
+        with_header.write.mode("append").text(path)
+    report = run_raw(spark, [source], f"{layout.location}/files", layout, LOADED_AT)[0]
+    good = spark.table(qualified(layout.raw, "lines")).agg(
+        F.lit("landed").alias("reason"),
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("Mode").contains(', "')).alias("as_delivered"),
+        F.sum("Quantity").alias("quantity"),
+    )
+    delivered = F.col("record").contains(",seven,") | F.col("record").endswith(",0")
+    bad = spark.table(qualified(layout.raw, "lines_rejected"))
+    bad = bad.where(~F.col("record").startswith("Mode,")).groupBy("reason").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(delivered).alias("as_delivered"),
+        F.lit(None).cast("bigint").alias("quantity"),
+    )
+    both = good.unionByName(bad)
+    return _answer(both.withColumn("reported", F.lit(report.rows).cast("bigint")), layout)
+
+
+def _headed(header: str):
+    """The lines of a task's file after its header."""
+
+    def add(batches):
+        import pandas as pd
+
+        started = False
+        for batch in batches:
+            if len(batch) and not started:
+                started = True
+                yield pd.DataFrame({"value": [header]})
+            yield batch
+
+    return add
+
+
 def _run_mart(spark: SparkSession, folder: str) -> Layout:
     """Files to raw, enriched and aggregated tables.
 

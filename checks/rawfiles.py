@@ -68,12 +68,17 @@ def _in_bounds(batches, rows: int):
 
 def pack_workbooks(frame: DataFrame) -> DataFrame:
     """One workbook in ``content`` per ``WORKBOOK_ROWS`` rows of a task, all cells as text."""
+    return _packed(frame, b"")
+
+
+def _packed(frame: DataFrame, comment: bytes) -> DataFrame:
+    """Workbooks that lack only the given comment at their end."""
     names = frame.columns
     text = frame.select(*(quoted(name).cast("string").alias(name) for name in names))
-    return text.mapInPandas(_packer(names), "content binary")
+    return text.mapInPandas(_packer(names, comment), "content binary")
 
 
-def _packer(names: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _packer(names: list[str], comment: bytes) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def pack(batches):
         import io
         import zipfile
@@ -119,6 +124,18 @@ def _packer(names: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
                 archive.writestr("xl/workbook.xml", book)
                 archive.writestr("xl/_rels/workbook.xml.rels", relations)
                 archive.writestr("xl/worksheets/sheet1.xml", sheet)
-            yield pd.DataFrame({"content": [target.getvalue()]})
+                archive.comment = comment
+            whole = target.getvalue()
+            yield pd.DataFrame({"content": [whole[: len(whole) - len(comment)]]})
 
     return pack
+
+
+def write_workbooks(frame: DataFrame, path: str) -> None:
+    """A folder of workbooks, each a whole file that its task writes.
+
+    Spark writes a text's bytes as they are and ends the file with a line break. A
+    workbook ends with a comment, so that line break is made the comment's only byte.
+    """
+    books = _packed(frame, b"\n").select(F.col("content").cast("string").alias("value"))
+    books.write.option("maxRecordsPerFile", 1).text(path)

@@ -1,6 +1,6 @@
 """Lazy DataFrame-to-DataFrame operators. None of them starts a job."""
 
-from tallyloom.operators.aggregate import aggregate, reaggregate
+from tallyloom.operators.aggregate import aggregate, reaggregate, with_estimates
 from tallyloom.operators.batches import latest_batch
 from tallyloom.operators.columns import (
     any_null,
@@ -49,4 +49,5 @@ __all__ = [
     "snake_case_columns",
     "stamp",
     "trim_strings",
+    "with_estimates",
 ]

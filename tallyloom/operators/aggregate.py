@@ -12,17 +12,24 @@ from tallyloom.operators.columns import quoted
 from tallyloom.specs import AggregateSpec, Metric
 
 # Metric names, names of stored measures, decimals of a stored total.
-SUM, COUNT, DISTINCT = "sum", "count", "countDistinct"
+SUM, COUNT, DISTINCT, SKETCH = "sum", "count", "countDistinct", "distinctSketch"
 TOTAL_PREFIX = "total_"
 COUNT_SUFFIX = "_count"
 DISTINCT_SUFFIX = "_distinct_count"
+SKETCH_SUFFIX = "_distinct_sketch"
+ESTIMATE_SUFFIX = "_distinct_estimate"
 TOTAL_DIGITS = 2
 
+#: Buckets of a distinct sketch as a power of two. The standard error of an estimate is about
+#: 1.04 / sqrt(2 ** 12), 1.6 %, and a sketch takes 4 KB at most.
+SKETCH_BITS = 12
+
 
 def _alias(metric: Metric) -> str:
     if metric.function == SUM:
         return TOTAL_PREFIX + metric.column
-    return metric.column + (COUNT_SUFFIX if metric.function == COUNT else DISTINCT_SUFFIX)
+    suffixes = {COUNT: COUNT_SUFFIX, DISTINCT: DISTINCT_SUFFIX, SKETCH: SKETCH_SUFFIX}
+    return metric.column + suffixes[metric.function]
 
 
 def _parts(frame: DataFrame, name: str, scale: int | None) -> tuple[Column, Column | None]:
@@ -38,10 +45,10 @@ def _total(parts: tuple[Column, Column | None]) -> Column:
 
 def _check(metrics: Sequence[Metric]) -> None:
     for metric in metrics:
-        if metric.function not in (SUM, COUNT, DISTINCT):
+        if metric.function not in (SUM, COUNT, DISTINCT, SKETCH):
             raise ValueError(
                 f"unknown metric {metric.function!r} for column {metric.column!r}: "
-                f"use {SUM}, {COUNT} or {DISTINCT}"
+                f"use {SUM}, {COUNT}, {DISTINCT} or {SKETCH}"
             )
     names = [_alias(metric) for metric in metrics]
     if len(set(names)) < len(names):
@@ -56,7 +63,8 @@ def aggregate(frame: DataFrame, spec: AggregateSpec, ordered: bool = True) -> Da
     """
     _check(spec.metrics)
     counted = {metric.column for metric in spec.metrics if metric.function == DISTINCT}
-    if len(counted) == 1 and not counted & set(spec.group_by):
+    sketched = {metric.column for metric in spec.metrics if metric.function == SKETCH}
+    if len(counted) == 1 and sketched <= counted and not counted & set(spec.group_by):
         grouped = _through_pairs(frame, spec, counted.pop())
     else:
         grouped = _direct(frame, spec)
@@ -69,6 +77,8 @@ def _direct(frame: DataFrame, spec: AggregateSpec) -> DataFrame:
             return _total(_parts(frame, metric.column, metric.scale))
         if metric.function == COUNT:
             return F.count(quoted(metric.column))
+        if metric.function == SKETCH:
+            return F.hll_sketch_agg(quoted(metric.column), SKETCH_BITS)
         return F.count_distinct(quoted(metric.column))
 
     return frame.groupBy(*map(quoted, spec.group_by)).agg(
@@ -95,6 +105,8 @@ def _through_pairs(frame: DataFrame, spec: AggregateSpec, counted: str) -> DataF
         elif metric.function == COUNT:
             per_pair.append(F.count(quoted(metric.column)).alias(partial))
             measure = F.coalesce(F.sum(partial), F.lit(0))
+        elif metric.function == SKETCH:
+            measure = F.hll_sketch_agg("_counted", SKETCH_BITS)
         else:
             measure = F.count("_counted")
         per_group.append(measure.alias(_alias(metric)))
@@ -111,18 +123,33 @@ def reaggregate(frame: DataFrame, group_by: Sequence[str], measures: Sequence[st
     """Coarser totals and counts from stored ones, without reading the base table.
 
     Distinct counts of finer groups overlap and cannot be added, so asking for
-    one is an error.
+    one is an error. Distinct sketches can be united: their estimates answer for
+    coarser groups without the base table.
     """
     for name in measures:
         if name.endswith(DISTINCT_SUFFIX):
             raise ValueError(f"a distinct count cannot be re-aggregated: {name}")
-        if not (name.startswith(TOTAL_PREFIX) or name.endswith(COUNT_SUFFIX)):
-            raise ValueError(f"not a stored total or count: {name}")
+        if not (name.startswith(TOTAL_PREFIX) or name.endswith((COUNT_SUFFIX, SKETCH_SUFFIX))):
+            raise ValueError(f"not a stored total, count or sketch: {name}")
     return frame.groupBy(*map(quoted, group_by)).agg(*(resum(frame, name) for name in measures))
 
 
 def resum(frame: DataFrame, name: str) -> Column:
-    """The sum of one stored total or count."""
+    """The sum of one stored total or count, or the union of a stored sketch."""
+    if name.endswith(SKETCH_SUFFIX):
+        return F.hll_union_agg(quoted(name)).alias(name)
     if name.startswith(TOTAL_PREFIX):
         return _total(_parts(frame, name, TOTAL_DIGITS)).alias(name)
     return F.sum(quoted(name)).alias(name)
+
+
+def with_estimates(frame: DataFrame) -> DataFrame:
+    """Every distinct sketch read as the distinct count it estimates."""
+    columns = []
+    for name in frame.columns:
+        if name.endswith(SKETCH_SUFFIX):
+            estimate = name.removesuffix(SKETCH_SUFFIX) + ESTIMATE_SUFFIX
+            columns.append(F.hll_sketch_estimate(quoted(name)).alias(estimate))
+        else:
+            columns.append(quoted(name))
+    return frame.select(*columns)

@@ -3,7 +3,7 @@
 from tallyloom.plans.aggregated import run_aggregated
 from tallyloom.plans.enriched import complete, enrich, prepare, run_enriched
 from tallyloom.plans.layers import EmptyTableError, LayerError, Layout, LoadReport
-from tallyloom.plans.raw import land, run_raw
+from tallyloom.plans.raw import land, land_checked, run_raw
 from tallyloom.plans.reporting import report_tables
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "complete",
     "enrich",
     "land",
+    "land_checked",
     "prepare",
     "report_tables",
     "run_aggregated",

@@ -25,8 +25,8 @@ class Layout:
 class LoadReport:
     """Counts of one published table.
 
-    ``duplicates`` are rows that deduplication dropped and ``fan_out`` rows that
-    joins added; both are None where they were not asked for.
+    ``duplicates`` are rows that deduplication dropped, ``fan_out`` rows that joins
+    added and ``rejected`` rows in quarantine; each is None where it was not asked for.
     """
 
     table: str
@@ -34,6 +34,7 @@ class LoadReport:
     null_rows: int
     duplicates: int | None = None
     fan_out: int | None = None
+    rejected: int | None = None
 
 
 class LayerError(RuntimeError):

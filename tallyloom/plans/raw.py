@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
@@ -25,11 +26,15 @@ from tallyloom.sinks import (
     qualified,
     replace_batch,
     stage,
+    staged_without,
 )
-from tallyloom.sources import read_source, source_path
+from tallyloom.sources import read_checked, read_source, source_path
 from tallyloom.sources.files import BATCH_COLUMN
+from tallyloom.sources.quarantine import FILE, HEADER, NO_HEADER, REASON, RECORD, SWAPPED
 from tallyloom.specs import SinkSpec, SourceSpec
 
+log = logging.getLogger(__name__)
+
 
 def land(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> LoadReport:
     """Store rows stamped with the load time ``at`` and report on them.
@@ -58,6 +63,87 @@ def land(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> Lo
     return LoadReport(spec.table, counts.row_count, counts.null_rows)
 
 
+REJECTED = "_rejected"
+
+
+def land_checked(frame: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> LoadReport:
+    """Store the fitting rows of a checked read, and the others in a table of their own.
+
+    The source is parsed and written once: one staged version keeps both kinds in folders
+    of their own, and the good ones become visible without being moved. A CSV file whose
+    header is missing or in another order is rejected as a whole; only a delivery with
+    such files has its good rows written a second time, from the staged version.
+
+    The other table has the columns ``reason``, ``record``, ``file`` and the load time,
+    and is published first, so that it also tells why a load ended empty.
+    """
+    spark = frame.sparkSession
+    own = spec.sink
+    if own.mode == "append":
+        own = replace(own, partition_by=own.partition_by or (BATCH_COLUMN,))
+    apart = replace(own, partition_by=(REJECTED, *own.partition_by))
+    marked = frame.withColumn(REJECTED, F.col(REASON).isNotNull())
+    staged = stage(marked, apart, layout.raw, spec.table)
+    rows = spark.table(staged)
+    extra = [REASON, RECORD, FILE, REJECTED]
+    bad_files = _bad_files(rows) if spec.format == "csv" else None
+    if bad_files is not None and not bad_files.isEmpty():
+        of_bad = rows.join(bad_files, rows[FILE].eqNullSafe(bad_files["bad_file"]), "left")
+        declared = [name for name, _ in spec.columns]
+        line = F.to_csv(F.struct(*(quoted(name).alias(f"c{i}") for i, name in enumerate(declared))))
+        judged = of_bad.withColumns(
+            {
+                RECORD: F.when(F.col("why").isNotNull(), F.coalesce(RECORD, line)).otherwise(F.col(RECORD)),
+                REASON: F.when(F.col(REASON).isNull(), F.col("why")).otherwise(F.col(REASON)),
+            }
+        ).withColumn(REJECTED, F.col(REASON).isNotNull())
+        again = stage(judged.select(*map(quoted, rows.columns)), apart, layout.raw, spec.table)
+        discard(spark, staged)
+        staged, rows = again, spark.table(again)
+    rejected = _quarantine(rows, spec, layout, at)
+    good = rows.where(~F.col(REJECTED)).drop(*extra)
+    counts = audit(good, spec.key).first()
+    if not counts.row_count:
+        discard(spark, staged)
+        raise EmptyTableError(spec.table)
+    bare = staged_without(spark, staged, own, layout.raw, spec.table, extra, f"{REJECTED}=false")
+    if own.mode == "append":
+        _add_batch(bare, own, spec.table, layout, at)
+    else:
+        publish(spark, bare, layout.raw, spec.table)
+    warn_about_nulls(spec.table, spec.key, counts.null_rows)
+    if rejected:
+        log.warning("%s: %d rows were rejected", spec.table, rejected)
+    return LoadReport(spec.table, counts.row_count, counts.null_rows, rejected=rejected)
+
+
+def _bad_files(rows: DataFrame) -> DataFrame:
+    """(bad_file, why) of the files without exactly the declared header."""
+    of_file = rows.groupBy(F.col(FILE).alias("bad_file")).agg(
+        F.bool_or(F.coalesce(F.col(REASON) == HEADER, F.lit(False))).alias("headed"),
+        F.bool_or(F.coalesce(F.col(REASON) == SWAPPED, F.lit(False))).alias("swapped"),
+    )
+    why = F.when(F.col("swapped"), SWAPPED).when(~F.col("headed"), NO_HEADER)
+    return of_file.select("bad_file", why.alias("why")).where("why IS NOT NULL")
+
+
+def _quarantine(rows: DataFrame, spec: SourceSpec, layout: Layout, at: datetime) -> int:
+    """Store the rejected rows and count them; header lines are none."""
+    spark, table = rows.sparkSession, spec.table + REJECTED
+    lines = rows.where(F.col(REJECTED) & ~F.col(REASON).isin(HEADER))
+    kept = lines.select(
+        F.col(REASON).alias("reason"), F.col(RECORD).alias("record"), F.col(FILE).alias("file"), BATCH_COLUMN
+    )
+    sink = SinkSpec(mode=spec.sink.mode, partition_by=(BATCH_COLUMN,) if spec.sink.mode == "append" else ())
+    staged = stage(kept, sink, layout.raw, table)
+    count = spark.table(staged).count()
+    if sink.mode == "append":
+        _add_batch(staged, sink, table, layout, at)
+    else:
+        publish(spark, staged, layout.raw, table)
+    return count
+
+
 def _add_batch(staged: str, sink: SinkSpec, table: str, layout: Layout, at: datetime) -> None:
     """Add the staged batch of ``at``, or put it in the place of the same batch.
 
@@ -94,8 +180,11 @@ def run_raw(
     done: list[LoadReport] = []
     for spec in specs:
         try:
-            frame = read_source(spark, spec, source_path(base_path, spec), at)
-            done.append(land(frame, spec, layout, at))
+            path = source_path(base_path, spec)
+            if spec.quarantine:
+                done.append(land_checked(read_checked(spark, spec, path, at), spec, layout, at))
+            else:
+                done.append(land(read_source(spark, spec, path, at), spec, layout, at))
         except Exception as error:
             raise LayerError("raw", {spec.table: error}) from error
     return done

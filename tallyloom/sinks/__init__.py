@@ -1,8 +1,11 @@
 """Table sinks that publish a result only once it was checked."""
 
 from tallyloom.sinks.tables import (
+    RUN_COLUMN,
+    add_run,
     add_staged,
     append_rows,
+    committed_runs,
     create_database,
     discard,
     expire_versions,
@@ -12,11 +15,15 @@ from tallyloom.sinks.tables import (
     register_view,
     replace_batch,
     stage,
+    staged_without,
 )
 
 __all__ = [
+    "RUN_COLUMN",
+    "add_run",
     "add_staged",
     "append_rows",
+    "committed_runs",
     "create_database",
     "discard",
     "expire_versions",
@@ -26,4 +33,5 @@ __all__ = [
     "register_view",
     "replace_batch",
     "stage",
+    "staged_without",
 ]

@@ -13,9 +13,13 @@ renames. Folders of earlier versions stay until ``expire_versions``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyloom.operators.columns import quoted
 from tallyloom.specs import SinkSpec
@@ -58,6 +62,55 @@ def stage(frame: DataFrame, sink: SinkSpec, database: str, table: str) -> str:
     return staged
 
 
+def staged_without(
+    spark: SparkSession,
+    staged: str,
+    sink: SinkSpec,
+    database: str,
+    table: str,
+    columns: Sequence[str],
+    folder: str = "",
+) -> str:
+    """The staged version under a new staging name, without some of its columns.
+
+    Its files stay as they are: formats that find columns by name skip what the new
+    entry does not name. ``folder`` narrows the entry to one folder of the version, that
+    of a partition column among ``columns``.
+    """
+    place = f"{_described(spark, staged)['Location'].rstrip('/')}/{folder}".rstrip("/")
+    kept = StructType([item for item in spark.table(staged).schema if item.name not in columns])
+    bare = qualified(database, f"{table}__{uuid.uuid4().hex}")
+    _register(spark, bare, kept, sink, place)
+    if sink.partition_by:
+        spark.sql(f"ALTER TABLE {bare} RECOVER PARTITIONS")
+    spark.sql(f"DROP TABLE {staged}")
+    return bare
+
+
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _named(names: Sequence[str]) -> str:
+    return ", ".join("`" + name.replace("`", "``") + "`" for name in names)
+
+
+def _register(
+    spark: SparkSession, name: str, schema: StructType, sink: SinkSpec, place: str
+) -> None:
+    """An entry for a folder of files; its partitions are added by other commands."""
+    parts = [f"CREATE TABLE {name} ({schema.toDDL()}) USING {sink.format}"]
+    if sink.options:
+        options = ", ".join(f"{_literal(key)} {_literal(value)}" for key, value in sink.options.items())
+        parts.append(f"OPTIONS ({options})")
+    if sink.partition_by:
+        parts.append(f"PARTITIONED BY ({_named(sink.partition_by)})")
+    if sink.bucket_by:
+        by = _named(sink.bucket_by)
+        parts.append(f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {sink.buckets} BUCKETS")
+    spark.sql(" ".join([*parts, f"LOCATION {_literal(place)}"]))
+
+
 ASIDE = "__replaced"
 
 
@@ -118,12 +171,15 @@ def recover(spark: SparkSession, database: str, table: str) -> None:
 def expire_versions(spark: SparkSession, database: str, table: str, keep: int = 1) -> int:
     """Delete the folders of a table's versions but the published and the ``keep`` newest others.
 
-    Versions that are staged or set aside count as others. Readers of a deleted
+    Versions that are staged or set aside count as others; those that are still being
+    written do not, nor do those that hold a run of the table. Readers of a deleted
     version fail, so keep as many as the longest query may need. Returns how many
     went.
     """
     recover(spark, database, table)
-    current = _described(spark, qualified(database, table))["Location"].rstrip("/")
+    target = qualified(database, table)
+    used = [_described(spark, target)["Location"], *committed_runs(spark, database, table).values()]
+    current = {part for place in used for part in place.split("/") if part.startswith("version=")}
     root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table.lower()}")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -133,7 +189,8 @@ def expire_versions(spark: SparkSession, database: str, table: str, keep: int =
         (status.getModificationTime(), status.getPath())
         for status in files.listStatus(folder)
         if status.getPath().getName().startswith("version=")
-        and status.getPath().getName() != current.rpartition("/")[2]
+        and status.getPath().getName() not in current
+        and not files.exists(status.getPath().suffix("/_temporary"))
     ]
     old = sorted(versions, key=lambda version: version[0], reverse=True)[keep:]
     for _, path in old:
@@ -152,6 +209,60 @@ def add_staged(
     return target
 
 
+# Fixed value: the column that tells the runs of an appended table apart.
+RUN_COLUMN = "run_id"
+
+
+def add_run(
+    spark: SparkSession, staged: str, sink: SinkSpec, run: str, database: str, table: str
+) -> str:
+    """Show a staged version's rows as those of one run, in the place of what the run had before.
+
+    The table is partitioned by run, and a partition's entry in the catalog is the run's
+    record: it names the folder of the version that counts. One catalog operation adds or
+    moves it, so a run that is repeated, after a failure or not, counts once, readers see
+    all of its rows or none, and no row is written twice.
+    """
+    if sink.partition_by or sink.bucket_by:
+        raise ValueError("a table of runs is partitioned by run alone")
+    target = qualified(database, table)
+    rows = spark.table(staged).schema
+    if not spark.catalog.tableExists(target):
+        root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+        schema = StructType([*rows, StructField(RUN_COLUMN, StringType())])
+        by_run = replace(sink, partition_by=(RUN_COLUMN,))
+        _register(spark, target, schema, by_run, f"{root}/{table.lower()}/runs")
+    known = [(item.name, item.dataType) for item in spark.table(target).schema]
+    if known != [*((item.name, item.dataType) for item in rows), (RUN_COLUMN, StringType())]:
+        raise ValueError(f"{table} has other columns than this run")
+    partition = f"PARTITION ({RUN_COLUMN} = {_literal(run)})"
+    place = _literal(_described(spark, staged)["Location"])
+    if run in committed_runs(spark, database, table):
+        spark.sql(f"ALTER TABLE {target} {partition} SET LOCATION {place}")
+    else:
+        spark.sql(f"ALTER TABLE {target} ADD PARTITION ({RUN_COLUMN} = {_literal(run)}) LOCATION {place}")
+    discard(spark, staged)
+    return target
+
+
+def committed_runs(spark: SparkSession, database: str, table: str) -> dict[str, str]:
+    """The folder of each run of a table; none where the table is not kept by runs."""
+    target = qualified(database, table)
+    if not spark.catalog.tableExists(target) or RUN_COLUMN not in spark.table(target).columns:
+        return {}
+    partitioned = [column.name for column in spark.catalog.listColumns(target) if column.isPartition]
+    if partitioned != [RUN_COLUMN]:
+        return {}
+    found = {}
+    for row in spark.sql(f"SHOW PARTITIONS {target}").collect():
+        run = unquote(row.partition.partition("=")[2])
+        described = spark.sql(
+            f"DESCRIBE TABLE EXTENDED {target} PARTITION ({RUN_COLUMN} = {_literal(run)})"
+        ).collect()
+        found[run] = next(line.data_type for line in described if line.col_name == "Location")
+    return found
+
+
 def discard(spark: SparkSession, staged: str) -> None:
     """Forget a staged version that failed its checks."""
     spark.sql(f"DROP TABLE IF EXISTS {staged}")

@@ -41,7 +41,11 @@ class SinkSpec:
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """A raw file source and the table it lands in."""
+    """A raw file source and the table it lands in.
+
+    With ``quarantine``, rows of CSV and JSON sources that do not fit the declared schema
+    land in a table of their own, named after this one with ``_rejected``.
+    """
 
     table: str
     format: str
@@ -50,6 +54,7 @@ class SourceSpec:
     key: tuple[str, ...] = ()
     options: Mapping[str, str] = field(default_factory=dict)
     sink: SinkSpec = field(default_factory=SinkSpec)
+    quarantine: bool = False
 
 
 @dataclass(frozen=True)
@@ -101,7 +106,7 @@ class EnrichSpec:
 
 @dataclass(frozen=True)
 class Metric:
-    """``function`` is one of ``sum``, ``count``, ``countDistinct``.
+    """``function`` is one of ``sum``, ``count``, ``countDistinct``, ``distinctSketch``.
 
     ``scale`` states how many decimals a summed double column carries at most.
     """
