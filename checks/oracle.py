@@ -246,10 +246,10 @@ ORACLE_SQL: dict[str, str] = {
         WITH words AS (
             SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\r\n]+')) AS raw FROM documents
         )
-        SELECT doc_id, raw,
+        SELECT DISTINCT raw,
                CASE WHEN regexp_full_match(raw, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+')
                     THEN raw ELSE 'not valid' END AS email
-        FROM words WHERE contains(raw, '@')""",
+        FROM words""",
     "normalise_phones": f"""
         WITH numbers AS (
             SELECT doc_id,

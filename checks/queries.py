@@ -264,10 +264,11 @@ def cleaned_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("validate_emails")
 def validated_emails(spark: SparkSession, folder: str) -> DataFrame:
+    """Every different word of the documents, as an address or as none."""
     words = table(spark, folder, "documents").select(
-        "doc_id", F.explode(F.split("text", "[ \\t\\r\\n]+")).alias("raw")
+        F.explode(F.split("text", "[ \\t\\r\\n]+")).alias("raw")
     )
-    addresses = words.where(F.contains("raw", F.lit("@"))).withColumn("email", F.col("raw"))
+    addresses = words.distinct().withColumn("email", F.col("raw"))
     return clean(addresses, CleanRules(emails=("email",)))
 
 
@@ -378,9 +379,10 @@ def duplicate_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _customers_with_some_nations(spark: SparkSession, folder: str) -> DataFrame:
-    nations = table(spark, folder, "nation").where("n_regionkey in (0, 3)")
-    nations = nations.select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"
+    """Nations are looked up by a key that only those of two regions have."""
+    known = F.when(F.col("n_regionkey").isin(0, 3), F.col("n_nationkey"))
+    nations = table(spark, folder, "nation").select(
+        known.alias("c_nationkey"), "n_name", "n_regionkey"
     ).withColumn("n_weight", F.col("n_regionkey").cast("bigint"))
     nations = nations.withColumn("n_share", F.col("n_regionkey").cast("decimal(8,2)"))
     nations = nations.withColumn("n_known", F.lit(True))
@@ -411,9 +413,10 @@ def table_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("enrich_left_unmatched")
 def enrich_left_unmatched(spark: SparkSession, folder: str) -> DataFrame:
-    segment = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
-    customers = segment.select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name")
+    """Only customers of one segment have the key by which orders look them up."""
+    known = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey"))
+    customers = table(spark, folder, "customer").select(
+        known.alias("customer_id"), F.col("c_name").alias("customer_name")
     )
     orders = table(spark, folder, "orders").select(
         "o_orderkey",
@@ -452,9 +455,13 @@ def enrich_left_checked(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("enrich_left_composite_key")
 def enrich_left_composite_key(spark: SparkSession, folder: str) -> DataFrame:
-    """What was sold of a part by a supplier is known by both keys together."""
+    """What was sold of a part by a supplier, and kept, is known by both keys together.
+
+    Lines that came back have no part key, so their supplier's rows match nothing.
+    """
     lines, _ = _lines_and_flags(spark, folder)
-    sold = table(spark, folder, "lineitem").where("l_returnflag <> 'R'")
+    kept = F.when(F.col("l_returnflag") != "R", F.col("l_partkey"))
+    sold = table(spark, folder, "lineitem").withColumn("l_partkey", kept)
     largest = sold.groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("largest"))
     return lookup(lines, largest, ("l_partkey", "l_suppkey"), ["largest"], on_duplicate="error")
 
@@ -462,7 +469,8 @@ def enrich_left_composite_key(spark: SparkSession, folder: str) -> DataFrame:
 @query("join_growth")
 def fan_out_report(spark: SparkSession, folder: str) -> DataFrame:
     lines, flags = _lines_and_flags(spark, folder)
-    return join_growth(lines, flags.where("flag <> 'A'"), "l_partkey")
+    known = F.when(F.col("flag") != "A", F.col("l_partkey"))
+    return join_growth(lines, flags.withColumn("l_partkey", known), "l_partkey")
 
 
 @query("schema_contract")

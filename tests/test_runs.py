@@ -1,0 +1,158 @@
+"""Runs that are repeated count once; audits count the files that were committed."""
+
+from __future__ import annotations
+
+import dataclasses
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom import AggregateSpec, EnrichSpec, JoinSpec, Metric, SinkSpec
+from tallyloom.operators import aggregate, reaggregate, with_estimates
+from tallyloom.plans import enriched, run_aggregated, run_enriched
+from tallyloom.plans.enriched import LACKS_COLUMN
+from tallyloom.sinks import committed_runs, create_database, expire_versions, publish, qualified, stage
+
+AT = datetime(2024, 1, 2, 10, tzinfo=timezone.utc)
+APPEND = SinkSpec(mode="append")
+ORDERS = EnrichSpec(
+    table="orders", source="orders", key=("id",), columns=("id", "customer", "v"), critical=("customer",),
+    count_duplicates=False,
+)
+
+
+def deliver(spark, layout, rows, table="orders"):
+    create_database(spark, layout.raw, layout.location_of(layout.raw))
+    frame = spark.createDataFrame(rows, "ID int, Customer string, V double")
+    publish(spark, stage(frame, SinkSpec(), layout.raw, table), layout.raw, table)
+
+
+def stored(spark, layout, table="orders"):
+    return sorted(tuple(row) for row in spark.table(qualified(layout.enriched, table)).select("id", "v").collect())
+
+
+@pytest.mark.parametrize("sink", [
+    SinkSpec(), SinkSpec(format="orc"), SinkSpec(format="json"), SinkSpec(format="csv"),
+    SinkSpec(partition_by=("customer",)), SinkSpec(bucket_by=("id",), buckets=2, options={"compression": "zstd"}),
+    SinkSpec(sort_by=("v",), rebalance=True), APPEND,
+])
+def test_nulls_are_counted_in_the_committed_files(spark, layout, sink):
+    deliver(spark, layout, [(1, "a", 1.0), (2, None, 2.0), (3, None, 3.0), (3, None, 3.0)])
+    for _ in range(2):
+        report = run_enriched(spark, [dataclasses.replace(ORDERS, sink=sink)], layout, AT)[0]
+        assert (report.rows, report.null_rows) == (3, 2)
+    table = spark.table(qualified(layout.enriched, "orders"))
+    assert sorted(table.columns) == ["customer", "enriched_at", "id", "v"]
+    once = [(1, 1.0), (2, 2.0), (3, 3.0)]
+    assert stored(spark, layout) == (sorted(once * 2) if sink.mode == "append" else once)
+    assert table.where("customer = 'Unknown'").count() == 2 * (1 + (sink.mode == "append"))
+
+
+def test_nothing_is_read_again_after_the_write(spark, layout, monkeypatch):
+    """With the source gone once its rows are staged, the audit still has all counts."""
+    deliver(spark, layout, [(1, "a", 1.0), (2, None, 2.0)])
+    write = enriched.stage
+
+    def write_and_lose_the_source(*arguments):
+        staged = write(*arguments)
+        spark.sql(f"DROP DATABASE `{layout.raw}` CASCADE")
+        return staged
+
+    monkeypatch.setattr(enriched, "stage", write_and_lose_the_source)
+    report = run_enriched(spark, [ORDERS], layout, AT)[0]
+    assert (report.rows, report.null_rows) == (2, 1)
+
+
+def test_the_audit_reads_one_column(spark, layout, monkeypatch):
+    deliver(spark, layout, [(1, "a", 1.0), (2, None, 2.0)])
+    plans = []
+    real = enriched.staged_without
+
+    def look(session, staged, *arguments):
+        frame = spark.table(staged).agg(F.count(F.lit(1)), F.count_if(LACKS_COLUMN))
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return real(session, staged, *arguments)
+
+    monkeypatch.setattr(enriched, "staged_without", look)
+    run_enriched(spark, [ORDERS], layout, AT)
+    assert f"ReadSchema: struct<{LACKS_COLUMN}:boolean>" in plans[0]
+
+
+def test_a_repeated_run_replaces_its_rows(spark, layout):
+    spec = dataclasses.replace(ORDERS, sink=APPEND)
+    deliver(spark, layout, [(1, "a", 1.0)])
+    run_enriched(spark, [spec], layout, AT, run="it's the first")
+    deliver(spark, layout, [(2, "b", 2.0), (3, "b", 3.0)])
+    for _ in range(3):
+        run_enriched(spark, [spec], layout, AT, run="second/é")
+    assert stored(spark, layout) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    assert set(committed_runs(spark, layout.enriched, "orders")) == {"it's the first", "second/é"}
+    assert expire_versions(spark, layout.enriched, "orders", keep=0) == 2
+    assert stored(spark, layout) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
+def test_a_run_that_broke_off_before_its_record_shows_nothing(spark, layout, monkeypatch):
+    spec = dataclasses.replace(ORDERS, sink=APPEND)
+    deliver(spark, layout, [(1, "a", 1.0)])
+    run_enriched(spark, [spec], layout, AT, run="one")
+    deliver(spark, layout, [(2, "b", 2.0)])
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(enriched, "add_run", fail)
+        with pytest.raises(RuntimeError):
+            run_enriched(spark, [spec], layout, AT, run="two")
+    assert stored(spark, layout) == [(1, 1.0)]
+    run_enriched(spark, [spec], layout, AT, run="two")
+    assert stored(spark, layout) == [(1, 1.0), (2, 2.0)]
+
+
+def test_runs_of_other_columns_or_partitions_are_refused(spark, layout):
+    deliver(spark, layout, [(1, "a", 1.0)])
+    run_enriched(spark, [dataclasses.replace(ORDERS, sink=APPEND)], layout, AT, run="one")
+    fewer = dataclasses.replace(ORDERS, sink=APPEND, columns=("id", "v"), critical=("id",))
+    with pytest.raises(RuntimeError, match="other columns"):
+        run_enriched(spark, [fewer], layout, AT, run="two")
+    by_customer = dataclasses.replace(ORDERS, sink=SinkSpec(mode="append", partition_by=("customer",)))
+    with pytest.raises(RuntimeError, match="run alone"):
+        run_enriched(spark, [by_customer], layout, AT, run="two")
+
+
+def test_repeated_aggregates_count_once(spark, layout):
+    deliver(spark, layout, [(1, "a", 1.0), (2, "a", 2.5)])
+    run_enriched(spark, [ORDERS], layout, AT)
+    spec = AggregateSpec("totals", "orders", ("customer",), (Metric("v", "sum"),), ("customer",), APPEND)
+    for run in ("one", "two", "two"):
+        run_aggregated(spark, [spec], layout, run)
+    rows = spark.table(qualified(layout.aggregated, "totals")).collect()
+    assert sorted(tuple(row) for row in rows) == [("a", 3.5, "one"), ("a", 3.5, "two")]
+
+
+def test_sketches_of_finer_groups_answer_for_coarser_ones(spark):
+    rows = spark.range(60_000).selectExpr("id % 300 AS fine", "id % 3 AS coarse", "id % 20011 AS value")
+    spec = AggregateSpec("t", "t", ("coarse", "fine"), (Metric("value", "distinctSketch"), Metric("value", "countDistinct")))
+    table = aggregate(rows, spec)
+    united = with_estimates(reaggregate(table, ["coarse"], ["value_distinct_sketch"]))
+    exact = rows.groupBy("coarse").agg(F.count_distinct("value").alias("exact"))
+    for row in united.join(exact, "coarse").collect():
+        assert abs(row.value_distinct_estimate / row.exact - 1) <= 0.05
+    one = AggregateSpec("t", "t", ("coarse",), (Metric("fine", "distinctSketch"), Metric("value", "countDistinct")))
+    assert [row.fine_distinct_estimate for row in with_estimates(aggregate(rows, one)).collect()] == [100] * 3
+    empty = rows.withColumn("value", F.lit(None).cast("int"))
+    assert with_estimates(aggregate(empty.limit(1), spec)).first().value_distinct_estimate == 0
+    with pytest.raises(ValueError, match="cannot be re-aggregated"):
+        reaggregate(table, ["coarse"], ["value_distinct_count"])
+
+
+def test_dimension_versions_survive_a_run(spark, layout):
+    deliver(spark, layout, [(1, "a", 1.0)], "customers")
+    dimension = dataclasses.replace(ORDERS, table="customers", source="customers", columns=("id", "customer"))
+    deliver(spark, layout, [(1, None, 4.0)])
+    joined = dataclasses.replace(
+        ORDERS, columns=("id", "customer", "v"), joins=(JoinSpec("customers", "id", ()),), sink=APPEND
+    )
+    reports = run_enriched(spark, [dimension, joined], layout, AT, run="r")
+    assert [report.rows for report in reports] == [1, 1]
