@@ -11,12 +11,11 @@ from tallyloom.llm.exact_dedup import keep_one
 from tallyloom.llm.packing import packed
 from tallyloom.llm.quality import keep_good
 from tallyloom.llm.simhash import keep_one_of_group
-from tallyloom.llm.storage import CHECKPOINTS
+from tallyloom.llm.storage import shared_folder
 from tallyloom.llm.substring_dedup import remove_repeats
 
-#: Differing bits of near-duplicates. Of pairs that share 0.9 or more of their shingles of
-#: five words, four in five are within it; of those that share under 0.75, one in eight.
-NEAR_BITS = 5
+#: Words of a shingle and differing bits of near-duplicates, as the operator's query has them.
+NEAR_SHINGLE, NEAR_BITS = 3, 3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +30,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id stays."""
-    return keep_one_of_group(docs, shingle=3, max_distance=NEAR_BITS)
+    return keep_one_of_group(docs, shingle=NEAR_SHINGLE, max_distance=NEAR_BITS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A stage's files go when the next one's are complete; those of the last stay.
     """
-    base = spark.conf.get(CHECKPOINTS, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    folder = f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
