@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -16,8 +18,9 @@ from tallyloom.llm.storage import fresh, stored
 
 BITS = 64
 SEED = 42
-#: Differing bits up to which all pairs are found in one step.
-CLOSE = 3
+#: Segments of a fingerprint. With 2, a pair within 3 bits differs by at most one bit in one of
+#: them, and 32 bits a segment keep the tables' buckets small for billions of texts.
+SEGMENTS = 2
 #: Shingles hashed at a time, so that a very long text needs no more memory than a short one.
 BLOCK = 50_000
 
@@ -65,20 +68,22 @@ def _part(fp: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def segments_for(count: int, max_distance: int) -> int:
-    """Segments of about as many bits as a number up to ``count`` has.
-
-    A bucket of a segment then holds about one fingerprint. Links are the same for
-    any number of segments.
-    """
-    return max(2, min(max_distance + 1, BITS // max(1, count.bit_length())))
+def ball(width: int, radius: int) -> list[int]:
+    """The changes of ``width`` bits in which at most ``radius`` of them flip."""
+    return [
+        sum(1 << bit for bit in flips)
+        for size in range(radius + 1)
+        for flips in combinations(range(width), size)
+    ]
 
 
-def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFrame:
+def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = SEGMENTS) -> DataFrame:
     """(a, b), a < b: all pairs of different fingerprints ``fp`` within the distance.
 
     If the nodes have a ``label``, the pairs of different labels that such
-    fingerprints have; fingerprints of one label are not paired.
+    fingerprints have; fingerprints of one label are not paired. Values under which
+    all fingerprints that are filed or looked up have one label drop out before the
+    join, so a large group that is linked already costs nothing there.
 
     With q, r = divmod(max_distance, segments), a pair within the distance differs by
     at most q bits in one of the first r + 1 segments, or by at most q - 1 in one of
@@ -99,48 +104,80 @@ def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = 2) -> Da
         radius = quotient if number <= remainder else quotient - 1
         if radius < 0:
             continue
-        masks = [
-            sum(1 << bit for bit in flips)
-            for size in range(radius + 1)
-            for flips in combinations(range(width), size)
-        ]
+        masks = ball(width, radius)
         label = F.lit(number).alias("segment")
         filed.append(nodes.select(label, _part(fp, shift, width).alias("value"), *other))
-        ball = nodes.select(
+        around = nodes.select(
             label,
             _part(fp, shift, width).alias("own"),
             F.explode(F.array(*map(F.lit, map(int, masks))).cast("array<bigint>")).alias("mask"),
             *own,
         ).where(F.col("own").bitwiseXOR(F.col("mask")) >= F.col("own"))
         changed = F.col("own").bitwiseXOR(F.col("mask")).alias("value")
-        labels = [name for name in ball.columns if name not in ("segment", "own", "mask")]
-        probes.append(ball.select("segment", changed, *labels))
+        labels = [name for name in around.columns if name not in ("segment", "own", "mask")]
+        probes.append(around.select("segment", changed, *labels))
     left, right = probes[0], filed[0]
     for more_probes, more_filed in zip(probes[1:], filed[1:]):
         left, right = left.union(more_probes), right.union(more_filed)
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
+    if "label" in nodes.columns:
+        both = left.select("segment", "value", F.col(a).alias("label"), F.lit(0).alias("filed")).union(
+            right.select("segment", "value", F.col(b).alias("label"), F.lit(1).alias("filed"))
+        )
+        mixed = both.groupBy("segment", "value").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.max("filed").alias("filed")
+        )
+        mixed = stored(mixed.where("low < high AND filed = 1").select("segment", "value"))
+        left, right = left.join(mixed, ["segment", "value"]), right.join(mixed, ["segment", "value"])
     found = left.join(right, ["segment", "value"]).where(close & (F.col(a) != F.col(b)))
     return found.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def _components(nodes: DataFrame, max_distance: int, segments: int | None) -> DataFrame:
+def stars(nodes: DataFrame, max_distance: int = 3, segments: int = SEGMENTS) -> DataFrame:
+    """(a, b): links of fingerprints to one in the middle of those that share a segment.
+
+    The middle is the fingerprint nearest to the majority of the bucket's bits. A bucket
+    gives at most one link a member, whatever its size, so what a large group of near
+    copies costs grows with its members and not with their pairs.
+    """
+    filed = [
+        nodes.select(F.lit(number).alias("segment"), _part(F.col("fp"), *segment).alias("value"), "fp")
+        for number, segment in enumerate(_segments(segments))
+    ]
+    filed = reduce(DataFrame.union, filed)
+    ones = [F.sum(_part(F.col("fp"), bit, 1)).alias(f"b{bit}") for bit in range(BITS)]
+    buckets = filed.groupBy("segment", "value").agg(F.count("*").alias("members"), *ones).where("members > 1")
+    bits = [F.when(2 * F.col(f"b{bit}") > F.col("members"), F.shiftleft(F.lit(1).cast("bigint"), bit)).otherwise(
+        F.lit(0).cast("bigint")) for bit in range(BITS)]
+    most = reduce(Column.bitwiseOR, bits)
+    shared = stored(buckets.select("segment", "value", most.alias("most")))
+    held = filed.join(shared, ["segment", "value"])
+    away = F.bit_count(F.col("fp").bitwiseXOR(F.col("most")))
+    middles = held.groupBy("segment", "value").agg(F.min(F.struct(away.alias("away"), "fp")).alias("nearest"))
+    middles = middles.select("segment", "value", F.col("nearest.fp").alias("middle"))
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("middle"))) <= max_distance
+    links = filed.join(middles, ["segment", "value"]).where(close & (F.col("fp") != F.col("middle")))
+    return links.select(F.col("fp").alias("a"), F.col("middle").alias("b"))
+
+
+def _relabelled(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """(fp, first, label) with the labels of linked labels made one."""
+    joined = connected_components(links)
+    label = F.coalesce("component", "label").alias("label")
+    return labelled.join(joined, labelled["label"] == joined["node"], "left").select("fp", "first", label)
+
+
+def _components(nodes: DataFrame, max_distance: int, segments: int) -> DataFrame:
     """(fp, component_id) from (fp, first): ``first`` is the smallest id of a fingerprint.
 
-    Beyond ``CLOSE`` the distance grows by steps. Each step pairs only what the one
-    before has not joined, so that a large group of near copies does not pair all
-    its members; the groups are the same.
+    Stars join most of a group; then every pair within the distance whose ends are still
+    apart is found by looking up the balls around the segments.
     """
-    segments = segments or segments_for(nodes.count(), max_distance)
     labelled = nodes.select("fp", "first", F.col("fp").alias("label"))
-    for distance in [*range(CLOSE, max_distance, 2), max_distance]:
-        first = distance == CLOSE or distance == max_distance <= CLOSE
-        compared = labelled.select("fp") if first else labelled.select("fp", "label")
-        linked = connected_components(near_pairs(compared, distance, segments))
-        labelled = labelled.join(linked, labelled["label"] == linked["node"], "left").select(
-            "fp", "first", F.coalesce("component", "label").alias("label")
-        )
-        if distance < max_distance:
-            labelled = stored(labelled)
+    labelled = stored(_relabelled(labelled, stars(nodes, max_distance, segments)))
+    apart = stored(near_pairs(labelled.select("fp", "label"), max_distance, segments))
+    if not apart.isEmpty():
+        labelled = _relabelled(labelled, apart)
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     return labelled.join(least, "label").select("fp", "component_id")
 
@@ -151,17 +188,20 @@ def _grouped(
     text_column: str,
     shingle: int,
     max_distance: int,
-    segments: int | None,
+    segments: int,
+    digests: Sequence[Column] = (),
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of every document."""
+    """(doc_id, fp, component_id) and the given digests of every document."""
     prints = stored(
         documents.select(
-            F.col(id_column).alias("doc_id"), fingerprints(F.col(text_column), shingle).alias("fp")
+            F.col(id_column).alias("doc_id"),
+            fingerprints(F.col(text_column), shingle).alias("fp"),
+            *(digest.alias(f"digest{i}") for i, digest in enumerate(digests)),
         )
     )
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     groups = stored(_components(nodes, max_distance, segments))
-    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(groups, "fp").select(*prints.columns, "component_id")
 
 
 def simhash_groups(
@@ -170,7 +210,7 @@ def simhash_groups(
     text_column: str = "text",
     shingle: int = 3,
     max_distance: int = 3,
-    segments: int | None = None,
+    segments: int = SEGMENTS,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document.
 
@@ -190,7 +230,7 @@ def keep_one_of_group(
     text_column: str = "text",
     shingle: int = 3,
     max_distance: int = 3,
-    segments: int | None = None,
+    segments: int = SEGMENTS,
 ) -> DataFrame:
     """The documents without all of a near-duplicate group but the one with the smallest id.
 
@@ -198,12 +238,14 @@ def keep_one_of_group(
     may be in several groups. Rows of one group that share its smallest id all stay.
     A null id stays only in a group without other ids.
     """
-    f, i = fresh(documents, "fp", "same_id")
-    groups = _grouped(documents, id_column, text_column, shingle, max_distance, segments)
-    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias(i), F.col("fp").alias(f"{f}_dropped")
-    )
-    dropped = stored(dropped.distinct())
-    printed = documents.withColumn(f, fingerprints(F.col(text_column), shingle))
-    same = printed[id_column].eqNullSafe(dropped[i]) & (printed[f] == dropped[f"{f}_dropped"])
-    return printed.join(dropped, same, "left_anti").select(*documents.columns)
+    i, d, e = fresh(documents, "same_id", "digest0", "digest1")
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    digests = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+    groups = _grouped(documents, id_column, text_column, shingle, max_distance, segments, digests)
+    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Fingerprints are costly, so rows are found again by the digest of their text.
+    dropped = stored(dropped.select("doc_id", "digest0", "digest1").distinct().toDF(i, f"{d}_", f"{e}_"))
+    named = documents.withColumns({d: digests[0], e: digests[1]})
+    same = named[f"`{id_column}`"].eqNullSafe(dropped[i]) & (named[d] == dropped[f"{d}_"]) & (named[e] == dropped[f"{e}_"])
+    kept = named.join(dropped, same, "left_anti")
+    return kept.select(*(F.col(f"`{column}`") for column in documents.columns))

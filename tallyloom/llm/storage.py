@@ -11,12 +11,20 @@ CHECKPOINTS = "spark.checkpoint.dir"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; a local session without one has its own in the warehouse."""
+    folder = spark.conf.get(CHECKPOINTS, None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINTS} to a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    return folder.rstrip("/")
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the folder the cluster names, or one in the warehouse where it names none."""
+    """Let checkpoints go to the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINTS, None)
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        spark.sparkContext.setCheckpointDir(folder or f"{warehouse.rstrip('/')}/_checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 @contextmanager

@@ -7,7 +7,17 @@ import pytest
 import xxhash
 from llm_support import ODD_DOCUMENTS, union_find
 
-from tallyloom.llm.simhash import _components, fingerprint, keep_one_of_group, near_pairs, segments_for, simhash_groups
+from tallyloom.llm.simhash import (
+    SEGMENTS,
+    _components,
+    _segments,
+    ball,
+    fingerprint,
+    keep_one_of_group,
+    near_pairs,
+    simhash_groups,
+    stars,
+)
 
 
 def plain_fingerprint(text, width=3):
@@ -38,8 +48,29 @@ def test_all_pairs_within_the_distance_are_found(spark, distance, segments):
     assert len(found) == len(wanted) and {tuple(row) for row in found} == wanted
 
 
-def test_segments_grow_shorter_with_fewer_fingerprints():
-    assert segments_for(2**31, 3) == 2 and segments_for(200_000, 3) == 3 and segments_for(0, 3) == 4
+def test_balls_are_enumerated_at_every_size(spark):
+    """The plan for a few fingerprints looks up the changed values of both segments."""
+    masks = [ball(width, 1) for _, width in _segments(SEGMENTS)]
+    assert [len(found) for found in masks] == [33, 33] and masks[0][:3] == [0, 1, 2]
+    pairs = near_pairs(spark.range(200).selectExpr("id * 7919 AS fp"))
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode([0,1,2,4,8,16,32,64") == 2
+
+
+def test_links_of_a_large_group_are_linear(spark):
+    """20,000 near copies: a link a member and segment, and few pairs apart."""
+    random.seed(4)
+    centre = random.getrandbits(63)
+    prints = {centre}
+    while len(prints) < 20_000:
+        prints.add(centre ^ sum(1 << b for b in random.sample(range(63), random.choice((1, 2, 3, 3, 3)))))
+    nodes = spark.createDataFrame([(p, p) for p in prints], "fp bigint, first bigint")
+    links = stars(nodes).collect()
+    assert len(links) <= 2 * len(prints)
+    parent = union_find(prints, [(row.a, row.b) for row in links])
+    labelled = spark.createDataFrame(list(parent.items()), "fp bigint, label bigint")
+    assert near_pairs(labelled).count() <= len(prints)
+    assert {row.component_id for row in _components(nodes, 3, SEGMENTS).collect()} == {min(prints)}
 
 
 def test_groups_of_odd_documents(odd):
@@ -77,16 +108,21 @@ def test_empty_table(nothing):
     assert keep_one_of_group(nothing).collect() == []
 
 
-def test_growing_the_distance_by_steps_gives_the_same_groups(spark):
+@pytest.mark.parametrize("distance", [3, 4, 6])
+def test_stars_and_pairs_give_the_same_groups(spark, distance):
     random.seed(12)
     centres = [random.getrandbits(64) for _ in range(9)]
     prints = {c ^ sum(1 << b for b in random.sample(range(64), random.randrange(9))) for c in centres for _ in range(9)}
     signed = sorted(p - 2**64 if p >> 63 else p for p in prints)
-    for distance in (4, 7):
-        links = [
-            (a, b) for a in signed for b in signed
-            if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= distance
-        ]
-        nodes = spark.createDataFrame([(p, p) for p in signed], "fp bigint, first bigint")
-        found = dict(map(tuple, _components(nodes, distance, None).collect()))
-        assert found == union_find(signed, links)
+    links = [
+        (a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= distance
+    ]
+    nodes = spark.createDataFrame([(p, p) for p in signed], "fp bigint, first bigint")
+    found = dict(map(tuple, _components(nodes, distance, 2 if distance < 6 else 4).collect()))
+    assert found == union_find(signed, links)
+
+
+def test_dotted_and_clashing_columns_stay(spark):
+    rows = [(1, "a b c d", 5, "x"), (2, "a b c d", 6, "y")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, `meta.lang` int, digest0 string")
+    assert [tuple(row) for row in keep_one_of_group(frame).collect()] == rows[:1]
