@@ -112,7 +112,7 @@ def _encoder(path: str) -> Memo:
             for part, is_inner in zip(parts, inner)
         ]
 
-    return Memo(encode, limit=350_000)
+    return Memo(encode, limit=600_000)
 
 
 _ENCODERS: dict[str, Memo] = {}
@@ -187,35 +187,41 @@ def packed(
     id_column: str = "doc_id",
     text_column: str = "text",
     with_ids: bool = False,
-    ranked_together: int = 100_000,
+    ranked_together: int = 1_000,
 ) -> DataFrame:
     """The pieces with their ``sequence_id`` and ``offset`` in it.
 
     Only the histogram, one count for each length up to ``capacity``, reaches the
     driver; patterns and slots are bounded by the capacity as well and are
     broadcast. A piece finds its slot by its rank among the pieces of its length.
-    Ranks are counted in buckets of about ``ranked_together`` pieces, so that a
-    length of very many pieces is ranked by many tasks. Repeated rows are packed as
-    often as they occur. An empty table gives no rows.
+    Ranks are counted in buckets of about ``ranked_together`` pieces, dealt by the row,
+    so that a length of very many pieces, or an id with very many rows, is ranked by
+    many tasks. Repeated rows are packed as often as they occur. An empty table gives
+    no rows.
     """
     cut = stored(pieces(documents, path, capacity, end_id, id_column, text_column, with_ids))
     histogram = {
         row["length"]: row["pieces"]
         for row in cut.groupBy("length").agg(F.count("*").alias("pieces")).collect()
     }
-    buckets = 1 + max(histogram.values(), default=0) // ranked_together
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
+    spark = documents.sparkSession
+    sizes = spark.createDataFrame(
+        [(length, 1 + count // ranked_together) for length, count in histogram.items()],
+        "length bigint, buckets bigint",
+    )
+    # The stored rows keep their order, so their numbers are the same in every pass.
+    numbered = cut.withColumn("number", F.monotonically_increasing_id()).join(F.broadcast(sizes), "length")
+    cut = numbered.withColumn("bucket", F.pmod(F.xxhash64("number"), "buckets")).drop("buckets")
     counts = cut.groupBy("length", "bucket").agg(F.count("*").alias("pieces"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "length", "bucket", F.coalesce(F.sum("pieces").over(earlier), F.lit(0)).alias("earlier")
     )
-    spark = documents.sparkSession
     slots = spark.createDataFrame(
         _slots(pack_histogram(histogram, capacity)),
         "length bigint, first_rank bigint, end_rank bigint, times bigint, slot_offset bigint, first_sequence bigint",
     )
-    order = Window.partitionBy("length", "bucket").orderBy("doc_id", "start")
+    order = Window.partitionBy("length", "bucket").orderBy("number")
     ranked = (
         cut.withColumn("rank_in_bucket", F.row_number().over(order) - 1)
         .join(offsets, ["length", "bucket"])

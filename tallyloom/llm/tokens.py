@@ -85,27 +85,32 @@ class Memo:
 
     def _look_up(self, parts: list[str], before: str) -> list:
         new, old = self.new[before], self.old[before]
-        values = list(map(new.get, parts))
-        if None not in values:
-            return values
-        made, missing = {}, []
-        for part in {part for part, value in zip(parts, values) if value is None}:
+        absent = set(parts).difference(new)
+        if not absent:
+            return list(map(new.__getitem__, parts))
+        missing = []
+        for part in absent:
             value = old.get(part)
             if value is None:
                 missing.append(part)
             else:
-                made[part] = value
+                new[part] = value
+        signed = [x for x in missing if x[-1:] in _SIGNS and x[:-1].isalpha()]
+        if signed and len(missing) > 1:
+            words = self._look_up([x[:-1] for x in signed], before)
+            signs = self._look_up([x[-1] for x in signed], "")
+            new = self.new[before]  # which may have been turned over
+            new.update(zip(signed, map(add, words, signs)))
+            missing = list(set(missing).difference(signed))
         if missing:
-            signed = [x for x in missing if x[-1:] in _SIGNS and x[:-1].isalpha()]
-            if signed and len(missing) > 1:
-                words = self._look_up([x[:-1] for x in signed], before)
-                signs = self._look_up([x[-1] for x in signed], "")
-                made.update(zip(signed, map(add, words, signs)))
-                missing = [x for x in missing if x not in made]
-            made.update(zip(missing, self.compute([before + part for part in missing])))
-        values = [made[part] if value is None else value for part, value in zip(parts, values)]
-        new = self.new[before]
-        new.update((k, v) for k, v in made.items() if len(k) <= self.longest)
+            new.update(zip(missing, self.compute([before + part for part in missing])))
+        try:
+            values = list(map(new.__getitem__, parts))
+        except KeyError:  # turned over while the signed words were looked up
+            return self._look_up(parts, before)
+        for part in absent:
+            if len(part) > self.longest:
+                del new[part]
         if len(new) > self.limit:
             self.old[before], self.new[before] = new, {}
         return values
