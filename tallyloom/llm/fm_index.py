@@ -88,27 +88,38 @@ class FMIndex:
         self.before = np.concatenate(([0], np.cumsum(occurrences)[:-1]))
         self.occurrences = occurrences
 
-    def matches(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """For the window at each place of the text, the first row of its range, or -1.
+    def matching_statistics(self, ends: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, rows): the longest repeated sequence that ends at each place of the text.
 
-        Backward search from each window's last word, for all windows together.
-        The range shrinks as the match grows; a window whose range has shrunk to
-        itself has a matching statistic below ``length`` and is done. Windows with
-        the same words, and only those, get the same row.
+        Backward search from each place, for all places together: the range of rows
+        shrinks as the match grows to the left. A match ends before its range has shrunk
+        to the place itself, or at ``most`` words. ``rows`` is the first row of a match's
+        range; matches of one length with the same words, and only those, have the same.
         """
-        found = np.full(len(starts), -1, np.int64)
-        left = np.arange(len(starts))
-        last = self.text[starts + length - 1]
+        lengths, rows = np.zeros(len(ends), np.int64), np.full(len(ends), -1, np.int64)
+        left = np.flatnonzero(most > 0)
+        last = self.text[ends[left]]
         low, high = self.before[last], self.before[last] + self.occurrences[last]
-        for step in range(length - 2, -1, -1):
+        length = 1
+        while len(left):
             several = high - low > 1
             left, low, high = left[several], low[several], high[several]
+            lengths[left], rows[left] = length, low
+            further = most[left] > length
+            left, low, high = left[further], low[further], high[further]
             if not len(left):
-                return found
-            symbol = self.text[starts[left] + step]
+                break
+            symbol = self.text[ends[left] - length]
             ranks = self.tree.rank(np.concatenate((symbol, symbol)), np.concatenate((low, high)))
             base = self.before[symbol]
             low, high = base + ranks[: len(left)], base + ranks[len(left) :]
-        several = high - low > 1
-        found[left[several]] = low[several]
-        return found
+            length += 1
+        return lengths, rows
+
+    def matches(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """For the window at each place of the text, the first row of its range, or -1.
+
+        Windows whose matching statistic is below their length occur once.
+        """
+        lengths, rows = self.matching_statistics(starts + length - 1, np.full(len(starts), length))
+        return np.where(lengths == length, rows, -1)

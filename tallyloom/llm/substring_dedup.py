@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.fm_index import FMIndex
-from tallyloom.llm.storage import ensure_checkpoints, fresh, stored
+from tallyloom.llm.storage import ensure_checkpoints, fresh, stored, written
 
 #: Words of the anchors by which windows are dealt to shards.
 ANCHOR = 8
-#: Segments that a shard holds on average.
-SHARD = 20_000
-#: An anchor with more segments than this has its windows dealt one by one.
+#: Words of segments that a shard holds on average.
+SHARD = 600_000
+#: The windows of an anchor with more segments than this are dealt to shards by their own words.
 COMMON = 50_000
 #: Windows that a segment holds at most.
 RUN = 1_000
@@ -117,10 +117,10 @@ def _batch(parts: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _segments(rows: DataFrame, candidates: DataFrame, window: int, common: bool) -> DataFrame:
+def _segments(rows: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
     """(route, doc_id, key, start, content) of the candidates' words.
 
-    Those of a common anchor are dealt as single windows, by their own words.
+    The windows of a common anchor are segments of their own, without a route.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -131,36 +131,28 @@ def _segments(rows: DataFrame, candidates: DataFrame, window: int, common: bool)
                 words = words_of(text[0].as_py())
                 route, start, content = [], [], []
                 for span in spans[0].as_py():
-                    if span["common"] != common:
-                        continue
-                    first, count = span["first"], span["windows"]
-                    if common:
-                        for at in range(first, first + count):
-                            body = b" ".join(words[at : at + window])
-                            route.append(0)
-                            start.append(at)
-                            content.append(body)
-                    else:
-                        route.append(span["anchor"])
-                        start.append(first)
-                        content.append(b" ".join(words[first : first + count + window - 1]))
-                if route:
-                    again = pa.array(np.zeros(len(route), np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(route, pa.int64()),
-                            ids.take(again),
-                            key.take(again),
-                            pa.array(start, pa.int64()),
-                            pa.array(content, pa.binary()),
-                        ],
-                        names=["route", "doc_id", "key", "start", "content"],
-                    )
+                    first, count, common = span["first"], span["windows"], span["common"]
+                    length = window if common else count + window - 1
+                    for at in range(first, first + count) if common else (first,):
+                        route.append(None if common else span["anchor"])
+                        start.append(at)
+                        content.append(b" ".join(words[at : at + length]))
+                again = pa.array(np.zeros(len(route), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(route, pa.int64()),
+                        ids.take(again),
+                        key.take(again),
+                        pa.array(start, pa.int64()),
+                        pa.array(content, pa.binary()),
+                    ],
+                    names=["route", "doc_id", "key", "start", "content"],
+                )
 
     joined = rows.join(candidates, "key").select("doc_id", "key", "text", "spans")
     return joined.mapInArrow(
         cut, f"route bigint, doc_id {kind}, key bigint, start bigint, content binary"
-    )
+    ).withColumns({"h1": F.xxhash64("content"), "h2": F.xxhash64(F.lit(1), "content")})
 
 
 def repeated_intervals(
@@ -168,30 +160,21 @@ def repeated_intervals(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment, first word, end) of the words covered by windows that start earlier elsewhere.
 
-    ``document`` numbers the segments' documents in their order. Equal segments are
-    indexed once. A window is repeated unless it is the first of all equal ones.
+    The contents differ; ``document`` numbers their documents in order. All are indexed,
+    and all are streamed through the index: a window whose matching statistic is the
+    window's length occurs several times, and is repeated unless it is the first of them.
     """
-    order = np.lexsort((start, document))
-    place = {}
-    own = np.empty(len(contents), np.int64)
-    heads = []  # the first occurrence of each different content
-    for i in order:
-        known = place.setdefault(contents[i], len(heads))
-        if known == len(heads):
-            heads.append(i)
-        own[i] = known
     numbers: dict[bytes, int] = {}
     sequences = [
-        np.array([numbers.setdefault(word, len(numbers) + 1) for word in contents[i].split()], np.int64)
-        for i in heads
+        np.array([numbers.setdefault(word, len(numbers) + 1) for word in content.split()], np.int64)
+        for content in contents
     ]
     index = FMIndex(sequences)
     windows = np.array([len(s) - window + 1 for s in sequences], np.int64)
-    source = np.repeat(np.arange(len(heads)), windows)
+    source = np.repeat(np.arange(len(contents)), windows)
     offset = np.arange(len(source)) - np.repeat(np.cumsum(windows) - windows, windows)
     same = index.matches(index.starts[source] + offset, window)
-    head = np.array(heads)
-    when = (document[head][source].astype(np.int64) << 40) + start[head][source] + offset
+    when = (document[source].astype(np.int64) << 40) + start[source] + offset
     earlier = np.zeros(len(source), bool)
     matched = np.flatnonzero(same >= 0)
     if len(matched):
@@ -199,26 +182,16 @@ def repeated_intervals(
         new = np.concatenate(([True], same[ranked][1:] != same[ranked][:-1]))
         least = when[ranked][np.maximum.accumulate(np.where(new, np.arange(len(ranked)), 0))]
         earlier[ranked] = when[ranked] > least
-    # A first occurrence loses the windows found earlier; all later ones lose every window.
-    runs = np.flatnonzero(earlier & ~np.concatenate(([False], earlier[:-1] & (source[1:] == source[:-1]))))
-    stops = np.flatnonzero(earlier & ~np.concatenate((earlier[1:] & (source[1:] == source[:-1]), [False])))
-    segment = [head[source[runs]]]
-    first = [start[head][source[runs]] + offset[runs]]
-    end = [start[head][source[runs]] + offset[stops] + window]
-    is_head = np.zeros(len(contents), bool)
-    is_head[head] = True
-    later = np.flatnonzero(~is_head)
-    # One at the place of its head comes from a repeated row, and shares the head's intervals.
-    later = later[(document[later] != document[head[own[later]]]) | (start[later] != start[head[own[later]]])]
-    segment.append(later)
-    first.append(start[later])
-    end.append(start[later] + windows[own[later]] + window - 1)
-    return np.concatenate(segment), np.concatenate(first), np.concatenate(end)
-
-
-def _indexed(segments: DataFrame, shards: int, window: int) -> DataFrame:
-    """(doc_id, key, first, end) of the repeated words, from one index per shard."""
-    kind = segments.schema["doc_id"].dataType.simpleString()
+    joined = source[1:] == source[:-1]
+    runs = np.flatnonzero(earlier & ~np.concatenate(([False], earlier[:-1] & joined)))
+    stops = np.flatnonzero(earlier & ~np.concatenate((earlier[1:] & joined, [False])))
+    segment = source[runs]
+    return segment, start[segment] + offset[runs], start[segment] + offset[stops] + window
+
+
+def _indexed(heads: DataFrame, shards: int, window: int) -> DataFrame:
+    """(doc_id, key, first, end) of the repeated words of different contents, by shard."""
+    kind = heads.schema["doc_id"].dataType.simpleString()
 
     def search(table: pa.Table) -> pa.Table:
         rows, first, end = repeated_intervals(
@@ -231,7 +204,7 @@ def _indexed(segments: DataFrame, shards: int, window: int) -> DataFrame:
 
     shard = F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")
     return (
-        segments.select(shard, "doc_id", "key", "start", "content")
+        heads.select(shard, "doc_id", "key", "start", "content")
         .groupBy("shard")
         .applyInArrow(search, f"doc_id {kind}, key bigint, first bigint, end bigint")
     )
@@ -249,20 +222,13 @@ def _document_order(table: pa.Table) -> np.ndarray:
     return numbers
 
 
-def _dealt_singly(windows: DataFrame, window: int) -> DataFrame:
-    """(doc_id, key, first, end) of the repeated windows of common anchors.
-
-    All but the first of equal windows are repeated. The first is a minimum, which
-    every task takes of its own windows before they are shuffled.
-    """
-    first = windows.groupBy("content").agg(F.min(F.struct("doc_id", "key", "start")).alias("least"))
-    first = first.select(F.col("content").alias("body"), "least")
-    place = F.struct("doc_id", "key", "start")
-    return (
-        windows.join(first, F.col("content") == F.col("body"))
-        .where(place > F.col("least"))
-        .select("doc_id", "key", F.col("start").alias("first"), (F.col("start") + window).alias("end"))
-    )
+def _one_per_text(rows: DataFrame) -> DataFrame:
+    """The rows (doc_id, key, text), those that repeat both id and text once."""
+    repeated = stored(rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"))
+    if repeated.isEmpty():
+        return rows
+    several = rows.join(repeated, "key", "left_semi").groupBy("doc_id", "key", "text").agg(F.count("*"))
+    return rows.join(repeated, "key", "left_anti").unionByName(several.select("doc_id", "key", "text"))
 
 
 def removals(
@@ -278,39 +244,54 @@ def removals(
 
     1. Every window of a document is filed under its anchor. Anchors that occur at one
        place in all documents hold no repeated window; the others name the candidates.
-    2. The candidates' words meet in shards by anchor, so that equal windows share
-       a shard. Each shard builds an FM-index over its different segments and
-       streams them through it by backward search.
-    3. A window whose words start earlier elsewhere marks its words.
-
-    ``key`` tells rows with the same id but other texts apart.
+    2. Equal contents of candidates meet, combined within tasks first. All but the first
+       are repeated as a whole, however many there are.
+    3. The different contents meet in shards by anchor, so that equal windows share a
+       shard; those of common anchors by window. Each shard builds an FM-index and
+       streams its contents through it by backward search.
+    4. A window whose words start earlier elsewhere marks its words.
+
+    ``key`` tells rows with the same id but other texts apart; rows that repeat both
+    are one document.
     """
     key = F.xxhash64(F.col(id_column), F.col(text_column))
     rows = documents.select(
         F.col(id_column).alias("doc_id"), key.alias("key"), F.col(text_column).alias("text")
     )
-    filed = _anchor_rows(rows.select("key", "text").where("text IS NOT NULL"), window, anchor)
-    counts = filed.groupBy("anchor").agg(
-        F.count("*").alias("times"), F.sum("places").alias("places"), F.max("anchor").alias("name")
-    )
-    counts = counts.where("places > 1").select("name", "times")
-    spans = F.struct("anchor", "first", "windows", (F.col("times") > common).alias("common"))
-    candidates = stored(
-        filed.join(counts, filed["anchor"] == counts["name"])
-        .groupBy("key")
-        .agg(F.collect_list(spans).alias("spans"))
-    )
-    total, singly = candidates.agg(
-        F.sum(F.size("spans")), F.max(F.exists("spans", lambda span: span["common"]))
-    ).first()
-    found = _indexed(
-        _segments(rows, candidates, window, common=False), max(1, -(-(total or 0) // shard)), window
-    )
-    if singly:
-        found = found.union(_dealt_singly(_segments(rows, candidates, window, common=True), window))
-    return found.groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("first", "end")).alias("spans")
-    )
+    rows = _one_per_text(rows.where("text IS NOT NULL"))
+    with written(_anchor_rows(rows.select("key", "text"), window, anchor)) as filed:
+        counts = filed.groupBy("anchor").agg(
+            F.count("*").alias("times"), F.sum("places").alias("places"), F.max("anchor").alias("name")
+        )
+        counts = counts.where("places > 1").select("name", "times")
+        span = F.struct("anchor", "first", "windows", (F.col("times") > common).alias("common"))
+        words = F.when(F.col("times") > common, F.col("windows") * window).otherwise(F.col("windows") + window - 1)
+        candidates = stored(
+            filed.join(counts, filed["anchor"] == counts["name"])
+            .groupBy("key")
+            .agg(F.collect_list(span).alias("spans"), F.sum(words).alias("words"))
+        )
+    total = candidates.agg(F.sum("words")).first()[0] or 0
+    with written(_segments(rows, candidates.select("key", "spans"), window)) as segments:
+        place = F.struct("doc_id", "key", "start")
+        heads = segments.groupBy("content", "h1", "h2").agg(
+            F.min(place).alias("least"), F.max("route").alias("anchor"), F.count("*").alias("times")
+        )
+        heads = heads.select("content", "h1", "h2", "times", "least", F.coalesce("anchor", "h1").alias("route"))
+        first = heads.where("times > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "least")
+        words = F.size(F.split(F.col("content").cast("string"), " "))
+        later = (
+            segments.select(place.alias("place"), "doc_id", "key", "start", words.alias("words"), "h1", "h2")
+            .join(first, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+            .where("place > least")
+            .select("doc_id", "key", F.col("start").alias("first"), (F.col("start") + F.col("words")).alias("end"))
+        )
+        found = _indexed(heads.select("least.*", "content", "route"), max(1, -(-total // shard)), window)
+        return stored(
+            found.unionByName(later)
+            .groupBy("doc_id", "key")
+            .agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+        )
 
 
 def without_repeats(
@@ -332,7 +313,7 @@ def without_repeats(
     """
     ensure_checkpoints(documents.sparkSession)
     k, i, s, r = fresh(documents, "key", "same_id", "spans", "result")
-    found = stored(removals(documents, window, id_column, text_column, **options)).select(
+    found = removals(documents, window, id_column, text_column, **options).select(
         F.col("doc_id").alias(i), F.col("key").alias(k), F.col("spans").alias(s)
     )
 
@@ -378,4 +359,4 @@ def remove_repeats(
     if "n_chars" in documents.columns and text_column != "n_chars":
         kind = documents.schema["n_chars"].dataType
         new["n_chars"] = F.when(changed, F.length(names["kept"]).cast(kind)).otherwise(F.col("n_chars"))
-    return marked.withColumns(new).select(*documents.columns)
+    return marked.withColumns(new).select(*(F.col(f"`{column}`") for column in documents.columns))

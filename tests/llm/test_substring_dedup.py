@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm.fm_index import FMIndex
-from tallyloom.llm.substring_dedup import anchors, remove_repeats, without_repeats
+from tallyloom.llm.substring_dedup import anchors, removals, remove_repeats, without_repeats
 
 
 def test_windows_match_exactly_those_with_equal_words():
@@ -29,6 +29,27 @@ def test_windows_match_exactly_those_with_equal_words():
     assert len(several) == len(set(several))
 
 
+def test_matching_statistics_are_those_of_brute_force():
+    random.seed(3)
+    sequences = [np.array([random.randint(1, 4) for _ in range(random.randint(0, 30))]) for _ in range(25)]
+    sequences.append(np.full(40, 3))
+    index = FMIndex(sequences)
+    ends, most, longest = [], [], []
+    held = [tuple(sequence) for sequence in sequences]
+
+    def times(words):
+        return sum(s[i : i + len(words)] == words for s in held for i in range(len(s) - len(words) + 1))
+
+    for begin, sequence in zip(index.starts, held):
+        for i in range(len(sequence)):
+            ends.append(begin + i)
+            most.append(min(12, i + 1))
+            longest.append(max((n for n in range(1, most[-1] + 1) if times(sequence[i + 1 - n : i + 1]) > 1), default=0))
+    lengths, rows = index.matching_statistics(np.array(ends), np.array(most))
+    assert lengths.tolist() == longest
+    assert ((rows >= 0) == (lengths > 0)).all()
+
+
 @pytest.fixture(scope="module")
 def passages(spark):
     random.seed(5)
@@ -112,5 +133,23 @@ def test_clean_texts_stay_as_they_are(passages, odd):
     assert remove_repeats(odd).columns == odd.columns
 
 
+def test_rows_that_repeat_are_one_document(spark):
+    """Segments, and with them the work, do not grow with the square of equal rows."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text)] * 300 + [(None, text + " more")] * 2 + [(1, text)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = brute_force(frame, 20)
+    found = removals(frame)
+    assert sum(len(row.spans) for row in found.collect()) <= 400
+    marked, names = without_repeats(frame)
+    for row in marked.collect():
+        assert tuple(row[names[n]] for n in ("n_words", "n_removed", "kept")) == expected[row["doc_id"], row["text"]]
+
+
+def test_dotted_columns_stay(spark):
+    frame = spark.createDataFrame([(1, "a b", 3)], "doc_id bigint, text string, `meta.lang` int")
+    assert remove_repeats(frame).collect() == frame.collect()
+
+
 def test_empty_table(nothing):
     assert without_repeats(nothing)[0].collect() == []
