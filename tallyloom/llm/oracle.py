@@ -181,4 +181,34 @@ ORACLE_SQL = {
                sha256(unhex(coalesce(s.head, '') || substr(t.octets, 2 * coalesce(s.stop, 0) + 1))) AS kept_sha256
         FROM texts t LEFT JOIN sums s ON s.rid = t.rid
     """,
+    "given_url_rules": """
+        WITH rests AS (
+            SELECT page_id,
+                   CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ),
+        hosts AS (
+            SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests
+        ),
+        parts AS (
+            SELECT page_id,
+                   translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+            FROM hosts
+        ),
+        rules(rule_host, rule_path, given) AS (
+            VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                   ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+        ),
+        ranked AS (
+            SELECT p.page_id, host, path, rule_host || rule_path AS rule, given,
+                   row_number() OVER (
+                       PARTITION BY p.page_id, host, path ORDER BY length(rule_host || rule_path) DESC NULLS LAST
+                   ) AS place
+            FROM parts p
+            LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                           AND starts_with(path, rule_path)
+        )
+        SELECT page_id, host, path, rule, given FROM ranked WHERE place = 1
+    """,
 }

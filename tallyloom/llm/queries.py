@@ -20,7 +20,7 @@ from tallyloom.llm.simhash import simhash_groups
 from tallyloom.llm.substring_dedup import without_repeats
 from tallyloom.llm.token_count import token_counts
 from tallyloom.llm.toxicity import toxicity_scores
-from tallyloom.llm.url_filter import ALLOW, BLOCK, UrlRule, judged_urls
+from tallyloom.llm.url_filter import ALLOW, BLOCK, UrlRule, given_verdicts, judged_urls
 
 VOCABULARY = "byte_bpe_50k.json"
 URL_RULES = [
@@ -109,11 +109,17 @@ def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def given_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """What of op4_url_filter SQL can express: hosts, paths, and the rules given."""
+    return given_verdicts(_table(spark, folder, "pages"), URL_RULES).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
     "op4_url_filter": op4_url_filter,
+    "given_url_rules": given_url_rules,
     "op5_token_count": op5_token_count,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,

@@ -80,24 +80,52 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     )
 
 
+def token_classes(baskets: DataFrame, least: float) -> DataFrame:
+    """(token, class): tokens of the same rows, of (row, tokens), share the smallest as class.
+
+    Only tokens of ``least`` rows or more have one: with a share of the rows as support,
+    their number is bounded by that share. Two tokens are of the same rows if their
+    counts and 128 bits over the numbers of their rows agree.
+    """
+    each = baskets.select(F.xxhash64("row").alias("h1"), F.xxhash64(F.lit(1), "row").alias("h2"), F.explode("tokens").alias("token"))
+    held = each.groupBy("token").agg(
+        F.count("*").alias("freq"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")
+    ).where(F.col("freq") >= least)
+    smallest = held.groupBy("freq", "h1", "h2").agg(F.min("token").alias("class"))
+    return stored(held.join(smallest, ["freq", "h1", "h2"]).select("token", "class", "freq"))
+
+
+def _of_classes(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """The rows with their tokens' different classes instead, those of ``key`` column."""
+    each = rows.select(key, F.explode("tokens").alias("token")).join(classes.select("token", "class"), "token")
+    return each.groupBy(key).agg(F.sort_array(F.collect_set("class")).alias("classes"))
+
+
 def mined_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
-) -> DataFrame:
-    """(antecedent, verdict, confidence, support, key) from rows (tokens, verdict).
+) -> tuple[DataFrame, DataFrame]:
+    """(antecedent, verdict, confidence, support, key) from rows (tokens, verdict), and the classes.
 
     FP-growth counts the combinations of tokens and verdict; rules are those whose
-    consequent is a verdict. ``key`` is the rarest token of the antecedent, under
+    consequent is a verdict. Tokens that always come together are one item, their
+    class: every combination of them has the same rows, so that a site whose URLs share
+    many arguments costs no more than one with a single argument. A rule fits a URL that
+    has some token of each class. ``key`` is the rarest class of the antecedent, under
     which the inverted index files the rule. Their number depends on the support
     asked for, not on the number of URLs.
     """
     mark = "verdict="
-    baskets = labelled.where(F.size("tokens") > 0).select(
-        F.concat("tokens", F.array(F.concat(F.lit(mark), F.col("verdict")))).alias("items")
+    rows = stored(
+        labelled.where(F.size("tokens") > 0).select("tokens", "verdict")
+    ).withColumn("row", F.monotonically_increasing_id())
+    total = rows.count()
+    classes = token_classes(rows, min_support * total)
+    held = _of_classes(rows, classes, "row")
+    verdict = F.concat(F.lit(mark), F.col("verdict"))
+    baskets = rows.select("row", verdict.alias("item")).join(held, "row", "left").select(
+        F.concat(F.coalesce("classes", F.array().cast("array<string>")), F.array("item")).alias("items")
     )
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(stored(baskets))
-    singles = stored(
-        model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    )
     # An antecedent holds one verdict at most; those that do are no rules about URLs.
     found = (
         model.associationRules.where(
@@ -111,25 +139,27 @@ def mined_rules(
             "support",
         )
     )
+    singles = classes.where(F.col("token") == F.col("class")).select("token", "freq")
     parts = found.select("*", F.explode("antecedent").alias("token")).join(singles, "token")
     rarest = parts.groupBy("antecedent", "verdict", "confidence", "support").agg(
         F.min(F.struct("freq", "token"))["token"].alias("key")
     )
-    return stored(rarest)
+    return stored(rarest), classes
 
 
-def _matched(signatures: DataFrame, rules: DataFrame) -> DataFrame:
+def _matched(signatures: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
     """(tokens, learned): the verdict of the best rule of each set of tokens that some rule fits.
 
-    A set looks up each of its tokens in the index; a rule found by its rarest token
-    fits if the set has its other tokens too. The best rule has the highest
-    confidence, then the highest support, then the fewest tokens.
+    A set looks up each of its classes in the index; a rule found by its rarest class
+    fits if the set has its other classes too. The best rule has the highest
+    confidence, then the highest support, then the fewest classes.
     """
-    looked_up = signatures.select("tokens", F.explode("tokens").alias("token"))
+    held = _of_classes(signatures.withColumn("same", F.col("tokens")), classes, "same")
+    looked_up = held.select(F.col("same").alias("tokens"), "classes", F.explode("classes").alias("class"))
     fitting = looked_up.join(
         rules,
-        (looked_up["token"] == rules["key"])
-        & (F.size(F.array_except(rules["antecedent"], looked_up["tokens"])) == 0),
+        (looked_up["class"] == rules["key"])
+        & (F.size(F.array_except(rules["antecedent"], looked_up["classes"])) == 0),
     )
     rank = F.struct(
         (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"),
@@ -138,6 +168,25 @@ def _matched(signatures: DataFrame, rules: DataFrame) -> DataFrame:
     return fitting.groupBy("tokens").agg(F.min(rank)["verdict"].alias("learned"))
 
 
+def _judged_by(rules: list[UrlRule], value) -> Column:
+    """What ``value`` gives for the longest rule that fits ``host`` and ``path``; null for none."""
+    ordered = sorted(rules, key=lambda rule: (-len(rule.name), rule.name))
+    fitting = [F.when(_fits(r, F.col("host"), F.col("path")), F.lit(value(r))) for r in ordered]
+    return F.coalesce(*fitting) if fitting else F.lit(None).cast("string")
+
+
+def given_verdicts(
+    pages: DataFrame, rules: list[UrlRule], id_column: str = "page_id", url_column: str = "url"
+) -> DataFrame:
+    """(page_id, url, host, path, rule, given) of every page: what the given rules decide."""
+    url = F.coalesce(F.col("url"), F.lit(""))
+    rows = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"))
+    rows = rows.withColumns({"host": host_of(url), "path": path_of(url)})
+    return rows.withColumns(
+        {"rule": _judged_by(rules, lambda r: r.name), "given": _judged_by(rules, lambda r: r.verdict)}
+    )
+
+
 def judged_urls(
     pages: DataFrame,
     rules: list[UrlRule],
@@ -157,26 +206,19 @@ def judged_urls(
     ids and repeated rows pass through; an empty table gives no rows.
     """
     url = F.coalesce(F.col("url"), F.lit(""))
-    ordered = sorted(rules, key=lambda rule: (-len(rule.name), rule.name))
-
-    def decided(value) -> Column:
-        fitting = [F.when(_fits(r, F.col("host"), F.col("path")), F.lit(value(r))) for r in ordered]
-        return F.coalesce(*fitting) if fitting else F.lit(None).cast("string")
 
-    def parsed(frame: DataFrame) -> DataFrame:
-        parts = frame.withColumns({"host": host_of(url), "path": path_of(url)})
-        return parts.withColumn("tokens", tokens_of(url, F.col("host"), F.col("path")))
+    def tokens(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("tokens", tokens_of(url, F.col("host"), F.col("path")))
 
-    rows = parsed(
-        pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"))
-    ).withColumns({"rule": decided(lambda r: r.name), "given": decided(lambda r: r.verdict)})
+    rows = tokens(given_verdicts(pages, rules, id_column, url_column))
     if labels is None:
         labelled = rows.where("given IS NOT NULL").select("tokens", F.col("given").alias("verdict"))
     else:
-        labelled = parsed(labels.select("url", "verdict")).select("tokens", "verdict").where("verdict IS NOT NULL")
-    mined = mined_rules(labelled, min_support, min_confidence)
+        parsed = labels.select("url", "verdict").withColumns({"host": host_of(url), "path": path_of(url)})
+        labelled = tokens(parsed).select("tokens", "verdict").where("verdict IS NOT NULL")
+    mined, classes = mined_rules(labelled, min_support, min_confidence)
     signatures = rows.where("given IS NULL AND size(tokens) > 0").select("tokens").distinct()
-    learned = stored(_matched(signatures, mined)).withColumnRenamed("tokens", "signature")
+    learned = stored(_matched(signatures, mined, classes)).withColumnRenamed("tokens", "signature")
     return rows.join(learned, rows["tokens"] == learned["signature"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("given", "learned", F.lit(default)).alias("verdict")
     )

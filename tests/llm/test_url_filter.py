@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm.queries import URL_RULES
-from tallyloom.llm.url_filter import judged_urls, tokens_of
+from tallyloom.llm.url_filter import host_of, judged_urls, mined_rules, path_of, tokens_of
 
 URLS = [
     None, "", "no scheme.org/es/", "://", "http://", "https://Example.ORG/es/1?x=/de/", "http://a.example.org/en/12",
@@ -88,8 +88,6 @@ def test_mined_rules_decide_the_rest_as_counted_by_hand(pages):
 
 
 def spark_tokens(pages):
-    from tallyloom.llm.url_filter import host_of, path_of
-
     url = F.coalesce("url", F.lit(""))
     rows = pages.select("url", tokens_of(url, host_of(url), path_of(url)).alias("found")).collect()
     return {r["url"]: r["found"] for r in rows}
@@ -103,6 +101,31 @@ def test_tokens(pages):
     assert found[None] == [] and found["http://"] == []
 
 
+def test_many_shared_arguments_cost_no_more_than_few(spark):
+    """40 arguments that always come together are one item: same verdicts, no more rules."""
+
+    def labels(arguments):
+        query = "&".join(f"a{i}=x" for i in range(arguments))
+        rows = [(f"http://s{i % 9}.net/{'ab'[i % 2]}/{i}?{query}", ("allow", "block")[i % 2]) for i in range(200)]
+        rows += [(f"http://t.net/{i}", "allow") for i in range(50)]
+        return spark.createDataFrame(rows, "url string, verdict string")
+
+    pages = spark.createDataFrame(
+        [(1, "http://x.com/b/1?a1=y"), (2, "http://x.com/a/1?a7=y&a3=x"), (3, "http://y.com/?a39=1"), (4, "http://t.net/q")],
+        "page_id int, url string",
+    )
+    found, rules = [], []
+    for arguments in (8, 40):
+        frame = labels(arguments)
+        judged = judged_urls(pages, [], labels=frame, min_support=0.05, min_confidence=0.7)
+        found.append(sorted((row.page_id, row.verdict) for row in judged.collect()))
+        parsed = frame.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+        parsed = parsed.select(tokens_of(F.col("url"), F.col("host"), F.col("path")).alias("tokens"), "verdict")
+        rules.append(mined_rules(parsed, 0.05, 0.7)[0].count())
+    assert found[0] == found[1] and rules[0] == rules[1]
+    assert dict(found[0])[1] == "block" and dict(found[0])[2] == "allow"
+
+
 def test_labels_of_its_own_and_empty_tables(spark, pages):
     labels = spark.createDataFrame([("http://a.net/x/", "block"), ("http://b.net/y/", "allow")] * 5, "url string, verdict string")
     found = {r["page_id"]: r["verdict"] for r in judged_urls(pages, [], labels=labels, min_support=0.1).collect()}
