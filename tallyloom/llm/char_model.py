@@ -16,13 +16,19 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BORDER = "_"
 _FLUSH = 300_000
 
+#: Letters that have no accent to lose, and how they are spelled without them; fixed values.
+_SPELLED = str.maketrans(
+    {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l", "ħ": "h", "ı": "i"}
+)
+
 
 def plain(word: str) -> str:
-    """Lower case, without accents; signs stay."""
+    """Lower case, in letters without accents; signs stay, and so do other scripts."""
     word = word.lower()
     if word.isascii():
         return word
-    return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+    bare = "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+    return bare if bare.isascii() else bare.translate(_SPELLED)
 
 
 def _trigrams(words: Counter) -> Counter:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.storage import stored
@@ -185,8 +186,9 @@ def near_vectors(
     rows = embeddings.select(
         F.col(id_column).alias("vec_id"),
         F.col(vector_column).alias("vector"),
-        F.col(label_column).cast("bigint").alias("label"),
+        F.col(label_column).alias("label"),
     )
+    rows = _with_numbered_labels(rows)
     valid = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector")))
     classes = stored(
         valid.groupBy("label", "vector").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
@@ -218,6 +220,16 @@ def near_vectors(
     return _answer(rows, valid, classes, links)
 
 
+def _with_numbered_labels(rows: DataFrame) -> DataFrame:
+    """The rows with whole numbers as labels; labels of other types are numbered as they are."""
+    if isinstance(rows.schema["label"].dataType, IntegralType):
+        return rows.withColumn("label", F.col("label").cast("bigint"))
+    known = rows.where("label IS NOT NULL").select(F.col("label").alias("known")).distinct()
+    known = stored(known.withColumn("number", F.monotonically_increasing_id()))
+    joined = rows.join(known, rows["label"] == known["known"], "left")
+    return joined.select("vec_id", "vector", F.col("number").alias("label"))
+
+
 def _answer(rows: DataFrame, valid: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     ids = classes.select("node", "label", "vector", "least", "copies")

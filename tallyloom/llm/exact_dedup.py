@@ -124,10 +124,17 @@ def keep_one(
 ) -> DataFrame:
     """The documents without all copies but the one with the largest id, columns unchanged.
 
-    Rows that repeat the kept id and text are reduced to one of them.
+    Rows that repeat the kept id and text are reduced to one of them, a null text counting
+    as empty: the one whose columns, written as JSON, come first.
     """
     marked, names = with_classes(documents, id_column, text_column, **options)
     kept = marked.where(F.col(id_column).eqNullSafe(F.col(names["keep_id"])))
-    repeated = kept.where(F.col(names["group_size"]) > 1).dropDuplicates([names["digest"], text_column])
-    single = kept.where(F.col(names["group_size"]) == 1)
-    return single.unionByName(repeated).select(*documents.columns)
+    columns = [F.col("`" + column.replace("`", "``") + "`") for column in documents.columns]
+    single = kept.where(F.col(names["group_size"]) == 1).select(*columns)
+    several = kept.where(F.col(names["group_size"]) > 1)
+    body = F.coalesce(F.col(text_column), F.lit("")).alias("body")
+    whole = F.struct(*columns)
+    one = several.groupBy(F.col(names["digest"]).alias("digest"), body).agg(
+        F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias("row")
+    )
+    return single.unionByName(one.select("row.*"))

@@ -27,7 +27,8 @@ def labelled_sample(
 ) -> DataFrame:
     """(text, label) of a sample of the labelled documents that are not held out.
 
-    If there are more than ``max_labelled``, a row takes part if a hash of its id lies
+    A labelled document takes part once, however often its row is repeated; of several
+    texts with its id, the smallest. If there are more than ``max_labelled``, a row takes part if a hash of its id lies
     below the share wanted. The sample's ids are broadcast, since ``max_labelled``
     bounds them; documents are not shuffled. Null labels and ids are left out.
     """
@@ -41,6 +42,8 @@ def labelled_sample(
     return stored(
         documents.select(F.col(id_column).alias("document_id"), F.col(text_column).alias("text"))
         .join(F.broadcast(chosen), F.col("document_id") == F.col("labelled_id"))
+        .groupBy("labelled_id", "label")
+        .agg(F.min("text").alias("text"))
         .select("text", "label")
     )
 

@@ -206,4 +206,5 @@ def keep_good(
 ) -> DataFrame:
     """The documents predicted to be good; columns and texts unchanged."""
     marked, names = scored(documents, train(documents, labels, max_labelled=max_labelled), threshold)
-    return marked.where(F.col(names["predicted"]) == 1).select(*documents.columns)
+    columns = [F.col(f"`{column}`") for column in documents.columns]
+    return marked.where(F.col(names["predicted"]) == 1).select(*columns)

@@ -31,20 +31,29 @@ LOOKALIKES = {
 SEPARATORS = "._-*~'`,:;/\\#^​‌‍­"
 #: Log costs of the channel: a sign for a letter, a dropped separator, a dropped or kept sign, a repetition.
 SUBSTITUTED, SEPARATED, DROPPED, REPEATED = -1.0, -0.3, -12.0, -2.5
+#: Log costs of a gap between spaced-out letters: dropped, or the end of a word.
+GAP_DROPPED, GAP_KEPT = -0.3, -2.0
 _EDGES = ".,;:!?\"'()[]{}*#%&$-_|+<>=~`"
 _STOPS = frozenset(".,;:?")
 _STRETCHED = re.compile(r"(.)\1\1", re.DOTALL)
-_SPACED = re.compile(r"(?<!\S)\S(?:[ ]\S){3,}(?!\S)")
-_MAYBE_SPACED = re.compile(r" \S \S \S")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_MAYBE_SPACED = re.compile(r"\s\S\s+\S(?!\S)|^\S\s+\S(?!\S)")
+#: Stands for a gap in a lattice.
+GAP = " "
 
 
 def lattice(word: str) -> list[list[tuple[str, float]]]:
-    """For each run of equal characters, what it may stand for and the channel's log probability."""
+    """For each run of equal characters, what it may stand for and the channel's log probability.
+
+    White space is a gap: it may be dropped, or end a word.
+    """
     arcs = []
-    for character, run in groupby(plain(word)):
+    for character, run in groupby(plain(word), key=lambda c: GAP if c.isspace() else c):
         times = len(list(run))
         options = []
-        if character in LETTERS:
+        if character == GAP:
+            options += [("", GAP_DROPPED), (GAP, GAP_KEPT)]
+        elif character in LETTERS:
             options.append((character * min(times, 2), 0.0 if times < 3 else REPEATED))
             if times > 1:
                 options.append((character, REPEATED))
@@ -61,7 +70,9 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 def restored(word: str, model: CharModel) -> str:
     """The likeliest letters behind a word: Viterbi decoding of its lattice under the model.
 
-    A state is the last two letters, so the work is linear in the word's length.
+    A state is the last two letters, so the work is linear in the word's length. Where a
+    gap ends a word, its border is one more letter and the next word starts anew; the
+    words come out with a blank between them.
     """
     log = model.log
     states = {BORDER * 2: (0.0, None)}  # last letters: log probability and the letters before, linked
@@ -70,10 +81,13 @@ def restored(word: str, model: CharModel) -> str:
         for state, (score, letters) in states.items():
             for text, cost in options:
                 total, end, chain = score + cost, state, letters
-                for letter in text:
-                    total += log[end, letter]
-                    end = end[1] + letter
-                    chain = (letter, chain)
+                if text == GAP:
+                    total, end, chain = total + log[end, BORDER], BORDER * 2, (GAP, chain)
+                else:
+                    for letter in text:
+                        total += log[end, letter]
+                        end = end[1] + letter
+                        chain = (letter, chain)
                 if end not in following or total > following[end][0]:
                     following[end] = (total, chain)
         states = following
@@ -103,12 +117,12 @@ def readings(token: str, model: CharModel) -> list[str]:
     return [x for x in dict.fromkeys(found) if x]
 
 
-def tokens(text: str) -> list[str]:
-    """The text's words; letters spaced out are joined to one more word."""
+def tokens(text: str, model: CharModel) -> list[str]:
+    """The text's words; three or more spaced-out letters give the words behind them, too."""
     words = text.split()
     if _MAYBE_SPACED.search(text):
         for match in _SPACED.finditer(text):
-            words.append(match[0].replace(" ", ""))
+            words += (word for word in restored(match[0], model).split(GAP) if len(word) > 1)
     return words
 
 
@@ -133,7 +147,7 @@ def _texts_with(texts: DataFrame, model: CharModel, wanted: frozenset[str] | Non
         total = Counter()
         for batch in batches:
             for text in batch.column(0):
-                words = {w for t in set(tokens(text.as_py() or "")) for w in readings(t, model)}
+                words = {w for t in set(tokens(text.as_py() or "", model)) for w in readings(t, model)}
                 found = {f for w in words for f in features(w)}
                 total.update(found if wanted is None else found & wanted)
         yield pa.RecordBatch.from_pydict(
@@ -209,7 +223,7 @@ class ToxicityModel:
 
     def evidence(self, text: str | None) -> tuple[float, ...]:
         """The two largest weights of the text's words, and number and share of those with any."""
-        words = tokens(text or "")
+        words = tokens(text or "", self.characters)
         known = self.known.get
         weights = [self.weight(t) if w is None else w for t, w in zip(words, map(known, words))]
         hits = sorted((w for w in weights if w), reverse=True)

@@ -1,15 +1,18 @@
 from __future__ import annotations
 
+import itertools
+import math
+import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm.char_model import CharModel, trigram_counts
+from tallyloom.llm.char_model import BORDER, CharModel, plain, trigram_counts
 from tallyloom.llm.learning import labelled_sample
-from tallyloom.llm.quality import STATISTICS, Rule, keep_good, quality_scores, statistics, tree_rules
+from tallyloom.llm.quality import STATISTICS, Rule, keep_good, quality_scores, scored, statistics, train, tree_rules
 from tallyloom.llm.queries import op6_quality, op10_toxicity
-from tallyloom.llm.toxicity import restored, tokens, toxicity_scores
+from tallyloom.llm.toxicity import GAP, lattice, restored, tokens, toxicity_scores
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -124,5 +127,71 @@ def test_disguised_words_are_restored(spark):
         ("stuuuupid", "stupid"), ("!d!ot", "idiot"), ("harmless", "harmless"), ("l3tt3r5", "letters"),
     ]:
         assert restored(disguised, model) == plain
-    assert tokens("so s t u p i d it is")[-1] == "stupid"
+    assert tokens("so s t u p i d it is", model)[-1] == "stupid"
     assert restored("", model) == "" and restored("123", model) != "123"
+
+
+def spaced_model(spark):
+    words = "a bad idiot stupid here is so nothing harmless sentence " * 3 + "of the and a a a"
+    return CharModel(trigram_counts(spark.createDataFrame([(words,)] * 20, "text string")))
+
+
+def test_spaced_letters_are_joined_and_cut_into_words(spark):
+    model = spaced_model(spark)
+    for text, words in [
+        ("a i d i o t here", ["idiot"]), ("s  t  u  p  i  d", ["stupid"]), ("b\ta\td", ["bad"]), ("b a d", ["bad"]),
+        ("so s\nt  u p 1 d", ["stupid"]), ("b a d i d i o t", ["bad", "idiot"]), ("x y", []), ("a b", []),
+    ]:
+        assert tokens(text, model)[len(text.split()) :] == words, text
+
+
+def test_decoding_is_exhaustive(spark):
+    """The decoded letters are the best of all paths of the lattice, enumerated."""
+    model = spaced_model(spark)
+    random.seed(6)
+    drawn = ["".join(random.choice("aid10t s..b@") for _ in range(random.randint(1, 7))) for _ in range(120)]
+    for word in ["b a d", "s t u", "a i d", "1d10t", "baaad", "i  d\ti", *drawn]:
+        best = -math.inf
+        for path in itertools.product(*lattice(word)):
+            total, state = sum(cost for _, cost in path), BORDER * 2
+            for letter in "".join(text for text, _ in path):
+                if letter == GAP:
+                    total, state = total + model.log[state, BORDER], BORDER * 2
+                else:
+                    total, state = total + model.log[state, letter], state[1] + letter
+            total += model.log[state, BORDER]
+            if total > best + 1e-9:
+                best, letters = total, "".join(text for text, _ in path)
+        assert restored(word, model) == letters, word
+
+
+def test_letters_without_accents_to_lose_are_spelled(spark):
+    assert [plain(word) for word in ("Straße", "Øre", "ŁÓDŹ", "Éa", "дом")] == ["strasse", "ore", "lodz", "ea", "дом"]
+    assert trigram_counts(spark.createDataFrame([("weiß ßx",)], "text string"))["iss"] == 1
+
+
+def test_scores_are_those_of_the_rules(spark, labels):
+    """Each kept rule evaluated in Python on each text gives the scores of the column expression."""
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = train(documents, labels)
+    assert model.rules
+    marked, names = scored(documents.limit(200), model)
+    for row in marked.collect():
+        found = dict(zip(STATISTICS, statistics(row["text"])))
+        total = model.intercept
+        for rule, weight in model.rules:
+            if all(found[n] > value if above else found[n] <= value for n, above, value in rule.tests):
+                total += weight
+        assert row[names["score"]] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+
+
+def test_a_repeated_document_is_learned_from_once(spark, labels):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    once = labelled_sample(documents, labels, "quality")
+    often = labelled_sample(documents.unionAll(documents), labels.unionAll(labels), "quality")
+    assert once.count() == often.count() and once.exceptAll(often).isEmpty()
+
+
+def test_dotted_columns_of_good_documents_stay(spark, labels):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("meta.lang", F.col("lang"))
+    assert keep_good(documents, labels).columns == documents.columns

@@ -49,3 +49,11 @@ def test_links_and_components(spark, block):
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert near_vectors(nothing).collect() == []
+
+
+@pytest.mark.parametrize(("kind", "labels"), [("string", ["a", "a", "b", None]), ("double", [1.2, 1.2, 1.7, None])])
+def test_labels_of_any_type_are_compared_as_they_are(spark, kind, labels):
+    rows = [(i, [1.0, 2.0], label) for i, label in enumerate(labels)]
+    frame = spark.createDataFrame(rows, f"vec_id bigint, embedding array<float>, label {kind}")
+    found = {row["vec_id"]: row["n_links"] for row in near_vectors(frame).collect()}
+    assert found == {0: 1, 1: 1, 2: 0, 3: 0}

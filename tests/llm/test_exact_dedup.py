@@ -45,6 +45,15 @@ def test_one_document_of_each_text_stays_with_its_columns(odd):
     assert (2, "The the cat sat on the mat") in pairs(kept)
 
 
+def test_the_survivor_is_told_by_its_columns(spark):
+    rows = [(2, None, "b"), (2, "", "a"), (2, "", "c"), (1, "x", None), (1, "x", "z")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, `meta.lang` string")
+    for parts in (1, 5):
+        kept = keep_one(frame.repartition(parts))
+        assert kept.columns == frame.columns
+        assert sorted(map(tuple, kept.collect())) == [(1, "x", "z"), (2, "", "a")]
+
+
 def test_empty_table(nothing):
     assert exact_duplicates(nothing).collect() == []
     assert keep_one(nothing).collect() == []
