@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution does the sizing: it merges small shuffle partitions, splits
+# Checkpoint files go when nothing refers to them. Adaptive execution does the sizing: it merges small shuffle partitions, splits
 # those of a hot key even where that costs one more shuffle, and hashes instead
 # of sorting for a join whose every measured partition is under 64 MB.
 SETTINGS = {
@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -17,7 +17,7 @@ SMALL = "/root/testdata/sf0.001"
 
 WRITING = {
     "mart_end_to_end", "stored_reports", "appended_batches", "reloaded_batch", "appended_enriched_batches",
-    "csv_roundtrip", "json_roundtrip",
+    "csv_roundtrip", "json_roundtrip", "landed_workbooks", "repeated_runs", "quarantined_rows",
 }
 
 
