@@ -19,8 +19,11 @@ from tallyloom.llm.storage import stored
 TABLES = 16
 PLANES = 16
 SEED = 7
-#: Members of a bucket that are compared as one block.
-BLOCK = 512
+#: Members of a bucket that are compared as one block. A member of a bucket of m goes to
+#: m / BLOCK comparisons, so a block is as large as a task's memory allows.
+BLOCK = 4096
+#: Members of a block whose cosines are computed at a time.
+SLICE = 512
 #: Rows that one task compares on average.
 ROUTE = 20_000
 
@@ -76,18 +79,25 @@ def compare_blocks(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, new): the pairs with enough cosine; ``new`` where no earlier table has the pair.
 
-    Without ``right``, the pairs i < j within ``left``.
+    Without ``right``, the pairs i < j within ``left``. Some rows of ``left`` are compared
+    at a time, so that a large block's cosines need little memory.
     """
-    other = left if right is None else right
+    other, codes_other = (left, codes_left) if right is None else (right, codes_right)
     lengths = np.sqrt((left * left).sum(axis=1))
-    other_lengths = lengths if right is None else np.sqrt((other * other).sum(axis=1))
-    cosine = (left @ other.T) / (lengths[:, None] * other_lengths[None, :])
-    close = cosine >= threshold
-    if right is None:
-        close = np.triu(close, 1)
-    i, j = np.nonzero(close)
-    codes_other = codes_left if codes_right is None else codes_right
-    seen = (codes_left[i, :table] == codes_other[j, :table]).any(axis=1)
+    other_lengths = np.sqrt((other * other).sum(axis=1))
+    found = []
+    for at in range(0, len(left), SLICE):
+        rows, skip = slice(at, at + SLICE), at if right is None else 0
+        cosine = (left[rows] @ other[skip:].T) / (lengths[rows, None] * other_lengths[None, skip:])
+        close = cosine >= threshold
+        if right is None:
+            close = np.triu(close, 1)
+        i, j = np.nonzero(close)
+        i, j = i + at, j + skip
+        found.append((i, j, (codes_left[i, :table] == codes_other[j, :table]).any(axis=1)))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    i, j, seen = map(np.concatenate, zip(*found))
     return i, j, ~seen
 
 

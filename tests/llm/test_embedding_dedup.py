@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from llm_support import union_find
 
-from tallyloom.llm.embedding_dedup import near_vectors
+from tallyloom.llm import embedding_dedup
+from tallyloom.llm.embedding_dedup import compare_blocks, near_vectors
 
 
 def brute_force(rows, threshold=0.98):
@@ -46,6 +47,21 @@ def test_links_and_components(spark, block):
     assert sorted(str(tuple(r)) for r in found) == brute_force(single)
 
 
+def test_slices_of_a_block_give_every_pair_once(monkeypatch):
+    random = np.random.default_rng(2)
+    left, right = random.standard_normal((23, 3)), random.standard_normal((17, 3))
+    codes = random.integers(0, 3, (40, 4))
+    for other in (None, right):
+        found = []
+        for size in (5, 512):
+            monkeypatch.setattr(embedding_dedup, "SLICE", size)
+            rows = compare_blocks(left, other, codes[:23], None if other is None else codes[23:], 2, 0.5)
+            found.append(sorted(zip(*(column.tolist() for column in rows))))
+        assert found[0] == found[1] and len(found[0]) > 20
+        assert len({pair[:2] for pair in found[0]}) == len(found[0])
+        assert other is not None or all(i < j for i, j, _ in found[0])
+
+
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert near_vectors(nothing).collect() == []
