@@ -20,8 +20,11 @@ def _least_neighbour(pairs: DataFrame) -> DataFrame:
 
 
 def _hook(pairs: DataFrame, keep: Column) -> DataFrame:
-    """Link the kept partners of each node to the node's least neighbour."""
-    least = _least_neighbour(pairs)
+    """Link the kept partners of each node to the node's least neighbour.
+
+    Sort-merge joins by request: a broadcast in every round would fill the driver's memory.
+    """
+    least = _least_neighbour(pairs).hint("merge")
     return pairs.join(least, pairs["u"] == least["node"]).where(keep).select(
         F.col("v").alias("a"), F.col("least").alias("b")
     )

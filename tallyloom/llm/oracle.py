@@ -143,15 +143,25 @@ ORACLE_SQL = {
             FROM documents
         ),
         blocks AS (
-            SELECT rid, octets, n_bytes, unnest(range(0, n_bytes - 199, 500)) AS base
+            SELECT rid, n_bytes, unnest(range(0, n_bytes - 24, 100)) AS base, octets
             FROM texts WHERE n_bytes >= 200
         ),
         parts AS (
-            SELECT rid, base, substr(octets, 2 * base + 1, 1398) AS part,
-                   unnest(range(least(500, n_bytes - 199 - base))) AS i
+            SELECT rid, n_bytes, base, substr(octets, 2 * base + 1, 248) AS part,
+                   unnest(range(least(100, n_bytes - 24 - base))) AS i
             FROM blocks
         ),
-        digests AS (SELECT rid, base + i AS s, md5_number(substr(part, 2 * i + 1, 400)) AS digest FROM parts),
+        pieces AS (
+            SELECT rid, n_bytes, base + i AS s, hash(substr(part, 2 * i + 1, 50)) AS piece FROM parts
+        ),
+        digests AS MATERIALIZED (
+            SELECT rid, s, n_bytes,
+                   hash(piece, lead(piece, 25) OVER w, lead(piece, 50) OVER w, lead(piece, 75) OVER w,
+                        lead(piece, 100) OVER w, lead(piece, 125) OVER w, lead(piece, 150) OVER w,
+                        lead(piece, 175) OVER w) AS digest
+            FROM pieces WINDOW w AS (PARTITION BY rid ORDER BY s)
+            QUALIFY s <= n_bytes - 200
+        ),
         repeated AS (
             SELECT rid, s FROM digests
             WHERE digest IN (SELECT digest FROM digests GROUP BY digest HAVING count(*) > 1)

@@ -128,6 +128,7 @@ def near_pairs(nodes: DataFrame, max_distance: int = 3, segments: int = SEGMENTS
             F.min("label").alias("low"), F.max("label").alias("high"), F.max("filed").alias("filed")
         )
         mixed = stored(mixed.where("low < high AND filed = 1").select("segment", "value"))
+        mixed = mixed.hint("merge")
         left, right = left.join(mixed, ["segment", "value"]), right.join(mixed, ["segment", "value"])
     found = left.join(right, ["segment", "value"]).where(close & (F.col(a) != F.col(b)))
     return found.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
@@ -145,41 +146,72 @@ def stars(nodes: DataFrame, max_distance: int = 3, segments: int = SEGMENTS) ->
         for number, segment in enumerate(_segments(segments))
     ]
     filed = reduce(DataFrame.union, filed)
-    ones = [F.sum(_part(F.col("fp"), bit, 1)).alias(f"b{bit}") for bit in range(BITS)]
-    buckets = filed.groupBy("segment", "value").agg(F.count("*").alias("members"), *ones).where("members > 1")
-    bits = [F.when(2 * F.col(f"b{bit}") > F.col("members"), F.shiftleft(F.lit(1).cast("bigint"), bit)).otherwise(
-        F.lit(0).cast("bigint")) for bit in range(BITS)]
-    most = reduce(Column.bitwiseOR, bits)
-    shared = stored(buckets.select("segment", "value", most.alias("most")))
-    held = filed.join(shared, ["segment", "value"])
+    shared = filed.groupBy("segment", "value").agg(F.count("*").alias("members"), _ones(F.col("fp")).alias("ones"))
+    shared = shared.where("members > 1").select("segment", "value", _majority("ones", "members").alias("most"))
+    held = stored(filed.join(shared.hint("merge"), ["segment", "value"]))
     away = F.bit_count(F.col("fp").bitwiseXOR(F.col("most")))
     middles = held.groupBy("segment", "value").agg(F.min(F.struct(away.alias("away"), "fp")).alias("nearest"))
     middles = middles.select("segment", "value", F.col("nearest.fp").alias("middle"))
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("middle"))) <= max_distance
-    links = filed.join(middles, ["segment", "value"]).where(close & (F.col("fp") != F.col("middle")))
+    links = held.join(middles.hint("merge"), ["segment", "value"]).where(close & (F.col("fp") != F.col("middle")))
     return links.select(F.col("fp").alias("a"), F.col("middle").alias("b"))
 
 
-def _relabelled(labelled: DataFrame, links: DataFrame) -> DataFrame:
-    """(fp, first, label) with the labels of linked labels made one."""
-    joined = connected_components(links)
-    label = F.coalesce("component", "label").alias("label")
-    return labelled.join(joined, labelled["label"] == joined["node"], "left").select("fp", "first", label)
+def _ones(fp: Column) -> Column:
+    """How many values of a group have each bit: 32 sums of two bits, of up to 2 ** 31 values."""
+    low = [F.shiftrightunsigned(fp, bit).bitwiseAND(F.lit(0x100000001)) for bit in range(BITS // 2)]
+    return F.array(*map(F.sum, low))
+
+
+def _majority(ones: str, members: str) -> Column:
+    """The bits that more than half of a group's values have."""
+    return F.expr(
+        f"aggregate(sequence(0, {BITS // 2 - 1}), 0L, (bits, i) -> bits"
+        f" | if(2 * ({ones}[i] & 4294967295L) > {members}, shiftleft(1L, i), 0L)"
+        f" | if(2 * shiftrightunsigned({ones}[i], 32) > {members}, shiftleft(1L, i + {BITS // 2}), 0L))"
+    )
+
+
+#: Steps from star to star by which labels are shortened before pairs are looked up.
+JUMPS = 3
+
+
+def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(fp, first, label): the same label only for fingerprints that stars connect.
+
+    Each fingerprint points to the middle of one of its stars; a label is what is reached
+    after some steps.
+    """
+    to = links.groupBy("a").agg(F.min("b").alias("label"))
+    labelled = nodes.select("fp", "first").join(to.hint("merge"), F.col("fp") == F.col("a"), "left")
+    labelled = labelled.select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    step = to.toDF("at", "next")
+    for _ in range(JUMPS):
+        labelled = labelled.join(step.hint("merge"), F.col("label") == F.col("at"), "left").select(
+            "fp", "first", F.coalesce("next", "label").alias("label")
+        )
+    return labelled
 
 
 def _components(nodes: DataFrame, max_distance: int, segments: int) -> DataFrame:
     """(fp, component_id) from (fp, first): ``first`` is the smallest id of a fingerprint.
 
-    Stars join most of a group; then every pair within the distance whose ends are still
-    apart is found by looking up the balls around the segments.
+    Stars join most of a group; then every pair within the distance whose ends have other
+    labels is found by looking up the balls around the segments. Labels that a star or a
+    pair links are one component.
     """
-    labelled = nodes.select("fp", "first", F.col("fp").alias("label"))
-    labelled = stored(_relabelled(labelled, stars(nodes, max_distance, segments)))
-    apart = stored(near_pairs(labelled.select("fp", "label"), max_distance, segments))
-    if not apart.isEmpty():
-        labelled = _relabelled(labelled, apart)
+    links = stored(stars(nodes, max_distance, segments))
+    labelled = stored(_labels(nodes, links))
+    pairs = near_pairs(labelled.select("fp", "label"), max_distance, segments)
+    ends = labelled.select(F.col("fp").alias("end"), "label")
+    named = links.join(ends.toDF("a", "a_label").hint("merge"), "a").join(ends.toDF("b", "b_label").hint("merge"), "b")
+    named = named.where("a_label <> b_label").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    joined = connected_components(pairs.union(named)).hint("merge")
+    labelled = labelled.join(joined, labelled["label"] == joined["node"], "left").select(
+        "fp", "first", F.coalesce("component", "label").alias("label")
+    )
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    return labelled.join(least, "label").select("fp", "component_id")
+    return labelled.join(least.hint("merge"), "label").select("fp", "component_id")
 
 
 def _grouped(
@@ -201,7 +233,7 @@ def _grouped(
     )
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     groups = stored(_components(nodes, max_distance, segments))
-    return prints.join(groups, "fp").select(*prints.columns, "component_id")
+    return prints.join(groups.hint("merge"), "fp").select(*prints.columns, "component_id")
 
 
 def simhash_groups(

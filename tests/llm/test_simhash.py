@@ -10,6 +10,7 @@ from llm_support import ODD_DOCUMENTS, union_find
 from tallyloom.llm.simhash import (
     SEGMENTS,
     _components,
+    _labels,
     _segments,
     ball,
     fingerprint,
@@ -67,9 +68,8 @@ def test_links_of_a_large_group_are_linear(spark):
     nodes = spark.createDataFrame([(p, p) for p in prints], "fp bigint, first bigint")
     links = stars(nodes).collect()
     assert len(links) <= 2 * len(prints)
-    parent = union_find(prints, [(row.a, row.b) for row in links])
-    labelled = spark.createDataFrame(list(parent.items()), "fp bigint, label bigint")
-    assert near_pairs(labelled).count() <= len(prints)
+    labelled = _labels(nodes, spark.createDataFrame([(row.a, row.b) for row in links], "a bigint, b bigint"))
+    assert near_pairs(labelled.select("fp", "label")).count() <= len(prints)
     assert {row.component_id for row in _components(nodes, 3, SEGMENTS).collect()} == {min(prints)}
 
 
