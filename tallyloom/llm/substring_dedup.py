@@ -118,7 +118,7 @@ def _batch(parts: list[tuple]) -> pa.RecordBatch:
 
 
 def _segments(rows: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
-    """(route, doc_id, key, start, content) of the candidates' words.
+    """(route, doc_id, key, start, words, content) of the candidates' words.
 
     The windows of a common anchor are segments of their own, without a route.
     """
@@ -129,13 +129,14 @@ def _segments(rows: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
             for row in range(batch.num_rows):
                 ids, key, text, spans = (batch.column(i).slice(row, 1) for i in range(4))
                 words = words_of(text[0].as_py())
-                route, start, content = [], [], []
+                route, start, size, content = [], [], [], []
                 for span in spans[0].as_py():
                     first, count, common = span["first"], span["windows"], span["common"]
                     length = window if common else count + window - 1
                     for at in range(first, first + count) if common else (first,):
                         route.append(None if common else span["anchor"])
                         start.append(at)
+                        size.append(length)
                         content.append(b" ".join(words[at : at + length]))
                 again = pa.array(np.zeros(len(route), np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -144,14 +145,15 @@ def _segments(rows: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
                         ids.take(again),
                         key.take(again),
                         pa.array(start, pa.int64()),
+                        pa.array(size, pa.int64()),
                         pa.array(content, pa.binary()),
                     ],
-                    names=["route", "doc_id", "key", "start", "content"],
+                    names=["route", "doc_id", "key", "start", "words", "content"],
                 )
 
     joined = rows.join(candidates, "key").select("doc_id", "key", "text", "spans")
     return joined.mapInArrow(
-        cut, f"route bigint, doc_id {kind}, key bigint, start bigint, content binary"
+        cut, f"route bigint, doc_id {kind}, key bigint, start bigint, words bigint, content binary"
     ).withColumns({"h1": F.xxhash64("content"), "h2": F.xxhash64(F.lit(1), "content")})
 
 
@@ -275,23 +277,24 @@ def removals(
     with written(_segments(rows, candidates.select("key", "spans"), window)) as segments:
         place = F.struct("doc_id", "key", "start")
         heads = segments.groupBy("content", "h1", "h2").agg(
-            F.min(place).alias("least"), F.max("route").alias("anchor"), F.count("*").alias("times")
-        )
-        heads = heads.select("content", "h1", "h2", "times", "least", F.coalesce("anchor", "h1").alias("route"))
-        first = heads.where("times > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "least")
-        words = F.size(F.split(F.col("content").cast("string"), " "))
-        later = (
-            segments.select(place.alias("place"), "doc_id", "key", "start", words.alias("words"), "h1", "h2")
-            .join(first, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
-            .where("place > least")
-            .select("doc_id", "key", F.col("start").alias("first"), (F.col("start") + F.col("words")).alias("end"))
-        )
-        found = _indexed(heads.select("least.*", "content", "route"), max(1, -(-total // shard)), window)
-        return stored(
-            found.unionByName(later)
-            .groupBy("doc_id", "key")
-            .agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+            F.min(place).alias("least"), F.max("route").alias("route"), F.count("*").alias("times")
         )
+        with written(heads) as heads:
+            first = heads.where("times > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "least")
+            later = (
+                segments.select(place.alias("place"), "doc_id", "key", "start", "words", "h1", "h2")
+                .join(first, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+                .where("place > least")
+                .select("doc_id", "key", F.col("start").alias("first"), (F.col("start") + F.col("words")).alias("end"))
+            )
+            shards = max(1, -(-total // shard))
+            different = heads.select("least.*", "content", F.coalesce("route", "h1").alias("route"))
+            return stored(
+                _indexed(different, shards, window)
+                .unionByName(later)
+                .groupBy("doc_id", "key")
+                .agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+            )
 
 
 def without_repeats(
