@@ -137,7 +137,7 @@ ORACLE_SQL = {
         LEFT JOIN nodes u ON n.depth > 0 AND u.key = n.parent
     """,
     "op13_suffix_dedup": """
-        WITH texts AS (
+        WITH texts AS MATERIALIZED (
             SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS octets,
                    strlen(coalesce(text, '')) AS n_bytes
             FROM documents
