@@ -9,11 +9,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.storage import stored
-from tallyloom.llm.tokens import Memo, vocabulary
+from tallyloom.llm.tokens import Memo, splits_at_blanks, vocabulary
 
 #: A pattern is a tuple of (length, times), longest first.
 Pattern = tuple[tuple[int, int], ...]
@@ -128,6 +129,70 @@ def _ids(path: str, text: str) -> bytes:
     )
 
 
+def _ids_together(path: str, column: pa.Array) -> list[bytes]:
+    """The ids of each text, as ``_ids`` gives them, with each different part looked up once.
+
+    Texts whose blanks all stand alone are split and numbered by Arrow; the ids of their
+    parts are put in place by arrays.
+    """
+    special, texts = vocabulary(path).special, column.to_pylist()
+    found: list[bytes | None] = [None] * len(texts)
+    simple = []
+    for i, text in enumerate(texts):
+        text = text or ""
+        if text and splits_at_blanks(text) and not any(x in text for x in special):
+            simple.append(i)
+        else:
+            found[i] = _ids(path, text)
+    if not simple:
+        return found
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _encoder(path)
+    memo = _ENCODERS[path]
+    lists = pc.split_pattern(column.take(pa.array(simple)), " ")
+    edges = lists.offsets.to_numpy()
+    coded = lists.values.dictionary_encode()
+    names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    # The first part of a text has no blank before it, and nothing to look up if it is empty.
+    inner = np.ones(len(code), bool)
+    inner[edges[:-1]] = False
+    used = np.zeros(len(names), bool)
+    used[code[inner]] = True
+    place = np.cumsum(used) - 1
+    values = memo.looked_up([names[i] for i in np.flatnonzero(used).tolist()], " ")
+    firsts = [names[i] for i in code[edges[:-1]].tolist()]
+    values += [value if first else b"" for first, value in zip(firsts, memo.looked_up(firsts, ""))]
+    number = place[code]
+    number[edges[:-1]] = int(used.sum()) + np.arange(len(firsts))
+    lengths = np.array(list(map(len, values))) // 4
+    flat = np.frombuffer(b"".join(values), np.uint32)
+    starts = np.cumsum(lengths) - lengths
+    own = lengths[number]
+    ends = np.cumsum(own)
+    ids = flat[np.repeat(starts[number] - ends + own, own) + np.arange(int(own.sum()))]
+    stops = ends[edges[1:] - 1].tolist()
+    for i, start, stop in zip(simple, [0, *stops[:-1]], stops):
+        found[i] = ids[start:stop].tobytes()
+    return found
+
+
+#: Texts, and bytes of them, whose parts are looked up together.
+TOGETHER, OCTETS = 4_000, 8_000_000
+
+
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of texts in groups of bounded size; one long text is a group."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    at, size = 0, 0
+    for place, own in enumerate(sizes):
+        if place > at and (place - at == TOGETHER or size + own > OCTETS):
+            yield at, place - at
+            at, size = place, 0
+        size += own
+    if sizes:
+        yield at, len(sizes) - at
+
+
 def pieces(
     documents: DataFrame,
     path: str,
@@ -147,11 +212,11 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = array("I", [end_id]).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                names, texts = (column.slice(at, 500) for column in batch.columns)
+            for at, number in _groups(batch.column(1)):
+                names, texts = (column.slice(at, number) for column in batch.columns)
                 row, start, length, crc, total, ids = [], [], [], [], [], []
-                for i, text in enumerate(texts):
-                    found = _ids(path, text.as_py() or "") + end
+                for i, found in enumerate(_ids_together(path, texts)):
+                    found += end
                     if sys.byteorder == "big":
                         swapped = array("I", found)
                         swapped.byteswap()

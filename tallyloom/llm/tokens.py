@@ -66,6 +66,13 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def splits_at_blanks(text: str) -> bool:
+    """Whether every blank of the text is a place where it may be cut, but for those at its ends."""
+    return not (
+        "  " in text or " \n" in text or "\n " in text or any(space in text for space in _RARE_SPACES)
+    )
+
+
 class Memo:
     """Values of the parts of texts, each computed once while it is remembered.
 
@@ -115,16 +122,15 @@ class Memo:
             self.old[before], self.new[before] = new, {}
         return values
 
+    def looked_up(self, parts: list[str], before: str) -> list:
+        """The values of parts that come after ``before``, a blank or nothing."""
+        return self._look_up(parts, before)
+
     def values(self, text: str) -> list:
         """The values of the text's parts, in order."""
         if not text:
             return []
-        if (
-            "  " in text
-            or " \n" in text
-            or "\n " in text
-            or any(space in text for space in _RARE_SPACES)
-        ):
+        if not splits_at_blanks(text):
             return self._look_up(_BOUNDARY.split(text), "")
         first, *rest = text.split(" ")
         start = self._look_up([first], "") if first else []
