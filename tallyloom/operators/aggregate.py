@@ -20,8 +20,9 @@ SKETCH_SUFFIX = "_distinct_sketch"
 ESTIMATE_SUFFIX = "_distinct_estimate"
 TOTAL_DIGITS = 2
 
-#: Buckets of a distinct sketch as a power of two. The standard error of an estimate is about
-#: 1.04 / sqrt(2 ** 12), 1.6 %, and a sketch takes 4 KB at most.
+#: Hashes that a distinct sketch keeps, as a power of two. Up to 2 ** 12 values are counted exactly,
+#: as each is kept by 63 bits; beyond, the standard error of an estimate is about
+#: 1 / sqrt(2 ** 12), 1.6 %. A sketch takes 32 KB at most.
 SKETCH_BITS = 12
 
 
@@ -78,7 +79,7 @@ def _direct(frame: DataFrame, spec: AggregateSpec) -> DataFrame:
         if metric.function == COUNT:
             return F.count(quoted(metric.column))
         if metric.function == SKETCH:
-            return F.hll_sketch_agg(quoted(metric.column), SKETCH_BITS)
+            return F.theta_sketch_agg(quoted(metric.column), SKETCH_BITS)
         return F.count_distinct(quoted(metric.column))
 
     return frame.groupBy(*map(quoted, spec.group_by)).agg(
@@ -106,7 +107,7 @@ def _through_pairs(frame: DataFrame, spec: AggregateSpec, counted: str) -> DataF
             per_pair.append(F.count(quoted(metric.column)).alias(partial))
             measure = F.coalesce(F.sum(partial), F.lit(0))
         elif metric.function == SKETCH:
-            measure = F.hll_sketch_agg("_counted", SKETCH_BITS)
+            measure = F.theta_sketch_agg("_counted", SKETCH_BITS)
         else:
             measure = F.count("_counted")
         per_group.append(measure.alias(_alias(metric)))
@@ -137,7 +138,7 @@ def reaggregate(frame: DataFrame, group_by: Sequence[str], measures: Sequence[st
 def resum(frame: DataFrame, name: str) -> Column:
     """The sum of one stored total or count, or the union of a stored sketch."""
     if name.endswith(SKETCH_SUFFIX):
-        return F.hll_union_agg(quoted(name)).alias(name)
+        return F.theta_union_agg(quoted(name), SKETCH_BITS).alias(name)
     if name.startswith(TOTAL_PREFIX):
         return _total(_parts(frame, name, TOTAL_DIGITS)).alias(name)
     return F.sum(quoted(name)).alias(name)
@@ -149,7 +150,7 @@ def with_estimates(frame: DataFrame) -> DataFrame:
     for name in frame.columns:
         if name.endswith(SKETCH_SUFFIX):
             estimate = name.removesuffix(SKETCH_SUFFIX) + ESTIMATE_SUFFIX
-            columns.append(F.hll_sketch_estimate(quoted(name)).alias(estimate))
+            columns.append(F.theta_sketch_estimate(quoted(name)).alias(estimate))
         else:
             columns.append(quoted(name))
     return frame.select(*columns)

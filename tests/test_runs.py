@@ -147,6 +147,17 @@ def test_sketches_of_finer_groups_answer_for_coarser_ones(spark):
         reaggregate(table, ["coarse"], ["value_distinct_count"])
 
 
+def test_sketches_tell_any_two_values_of_a_small_group_apart(spark):
+    """Pairs that share their 26 bits in a HyperLogLog sketch, where each counts as one value."""
+    pairs = [(0, 545), (0, 36580), (1, 745), (1, 63347), (2, 1875), (2, 40602), (3, 6107), (3, 49625)]
+    rows = spark.createDataFrame(pairs, "fine bigint, value bigint").withColumn("coarse", F.col("fine") % 2)
+    spec = AggregateSpec("t", "t", ("coarse", "fine"), (Metric("value", "distinctSketch"),))
+    stored = aggregate(rows, spec)
+    assert [row.value_distinct_estimate for row in with_estimates(stored).collect()] == [2] * 4
+    united = with_estimates(reaggregate(stored, ["coarse"], ["value_distinct_sketch"]))
+    assert [row.value_distinct_estimate for row in united.collect()] == [4] * 2
+
+
 def test_dimension_versions_survive_a_run(spark, layout):
     deliver(spark, layout, [(1, "a", 1.0)], "customers")
     dimension = dataclasses.replace(ORDERS, table="customers", source="customers", columns=("id", "customer"))
