@@ -64,12 +64,15 @@ def lookup(
     columns: Sequence[str],
     on_duplicate: str = "fanout",
     colocated: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``columns`` of ``dimension`` to every row of ``frame``, null where unmatched.
 
     ``on`` is one key column or several; a row with a null in any matches nothing.
     ``colocated`` joins where the dimension lies, as for tables bucketed by the key;
-    it saves the exchanges but leaves a hot key in one task.
+    it saves the exchanges but leaves a hot key in one task. ``partitions`` deals both
+    sides by the keys to that many tasks, which adaptive execution neither merges nor
+    splits: it bounds what a task holds where more work on the same keys follows.
     """
     if on_duplicate not in _DUPLICATE_RULES:
         raise ValueError(
@@ -85,6 +88,9 @@ def lookup(
     keyed = _DUPLICATE_RULES[on_duplicate](needed, keys)
     if not colocated:
         keyed = keyed.select(*map(_exchanged, keys), *map(quoted, columns))
+    if partitions:
+        frame = frame.repartition(partitions, *map(quoted, keys))
+        keyed = keyed.repartition(partitions, *map(quoted, keys))
     return frame.join(keyed, keys, "left")
 
 

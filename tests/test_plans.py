@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.compare import connect, difference
 from checks.oracle import ORACLE_SQL
 from checks.queries import QUERIES
-from checks.star import profit_by_grain, table
+from checks.star import profit_by_grain, table, tasks_by_order
 from tallyloom import AggregateSpec, Metric
 from tallyloom.operators import aggregate, dedupe, join_growth, latest_batch, lookup
 
@@ -50,6 +50,26 @@ def test_flagship_at_scale_shuffles_lines_three_times(spark, settings):
     assert sum("order_year" in line for line in exchanges) == 1
 
 
+def test_flagship_deals_lines_to_more_tasks_as_they_grow(spark, monkeypatch, connection):
+    """Adaptive execution would merge these small partitions into one."""
+    plain = initial_plan(profit_by_grain(spark, SMALL))
+    assert "REPARTITION_BY_NUM" not in plain
+    monkeypatch.setattr("checks.star.tasks_by_order", lambda spark, folder: 40)
+    grown = profit_by_grain(spark, SMALL)
+    plan = initial_plan(grown)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(order_id" in line]
+    assert len(exchanges) == 2
+    assert all(", 40), REPARTITION_BY_NUM" in line for line in exchanges)
+    assert difference(grown, connection, ORACLE_SQL["profit_by_grain"]) is None
+
+
+def test_tasks_by_order_follow_the_number_of_lines(spark):
+    lines = table(spark, SMALL, "lineitem").count()
+    assert tasks_by_order(spark, SMALL) is None
+    assert tasks_by_order(spark, SMALL, 100) == -(-lines // 100)
+    assert tasks_by_order(spark, SMALL, 50) == -(-lines // 50)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_plan_multiplies_rows_or_runs_row_by_row_python(spark, settings, name):
     for threshold in ("10m", "-1"):
