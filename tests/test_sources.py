@@ -3,11 +3,13 @@ from __future__ import annotations
 import json
 from dataclasses import replace
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 
+from checks.rawfiles import write_json_arrays
 from tallyloom import SourceSpec
 from tallyloom.retail import CSV_OPTIONS, JSON_OPTIONS
 from tallyloom.sources import declared_schema, parse_workbooks, read_source, source_path
@@ -171,3 +173,15 @@ def test_workbook_dates_as_shown(spark, folder):
     books = spark.read.format("binaryFile").load(str(folder / "d.xlsx"))
     found = [row.h for row in parse_workbooks(books, declared_schema((("h", "string"),))).collect()]
     assert found == list(goldens.values())
+
+
+def test_json_arrays_are_delivered_compressed(spark, folder):
+    rows = spark.range(20_000).selectExpr("cast(id AS string) AS id", "concat('name ', id % 7) AS name")
+    path = str(folder / "rows.json")
+    write_json_arrays(rows, path)
+    plain = rows.selectExpr("sum(length(to_json(struct(*))))").first()[0]
+    written = list(Path(path).glob("part-*"))
+    assert written and all(file.name.endswith(".gz") for file in written)
+    assert sum(file.stat().st_size for file in written) < plain / 4
+    found = spark.read.schema(rows.schema).option("multiLine", True).json(path)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
