@@ -70,7 +70,7 @@ def _in_bounds(batches, rows: int):
 
 
 def pack_workbooks(frame: DataFrame) -> DataFrame:
-    """One workbook in ``content`` per ``WORKBOOK_ROWS`` rows of a task, all cells as text."""
+    """Workbooks of up to ``WORKBOOK_ROWS`` rows in ``content``, each its own task's, all cells as text."""
     return _packed(frame, b"")
 
 
@@ -78,6 +78,10 @@ def _packed(frame: DataFrame, comment: bytes) -> DataFrame:
     """Workbooks that lack only the given comment at their end."""
     names = frame.columns
     text = frame.select(*(quoted(name).cast("string").alias(name) for name in names))
+    # A small compressed table is a single scan task, however many workbooks its rows fill.
+    books = -(-frame.count() // WORKBOOK_ROWS)
+    if books > 1:
+        text = text.repartition(books)
     return text.mapInPandas(_packer(names, comment), "content binary")
 
 

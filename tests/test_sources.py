@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 
-from checks.rawfiles import write_json_arrays
+from checks.rawfiles import pack_workbooks, write_json_arrays
 from tallyloom import SourceSpec
 from tallyloom.retail import CSV_OPTIONS, JSON_OPTIONS
 from tallyloom.sources import declared_schema, parse_workbooks, read_source, source_path
@@ -175,6 +175,16 @@ def test_workbook_dates_as_shown(spark, folder):
     assert found == list(goldens.values())
 
 
+def test_workbooks_are_packed_by_a_task_each(spark, monkeypatch):
+    """However few tasks the rows come from."""
+    monkeypatch.setattr("checks.rawfiles.WORKBOOK_ROWS", 30)
+    rows = spark.range(100).selectExpr("cast(id AS string) AS id", "concat('n', id) AS name").coalesce(1)
+    books = pack_workbooks(rows)
+    assert books.rdd.getNumPartitions() == 4
+    found = parse_workbooks(books, rows.schema).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, rows.collect()))
+
+
 def test_json_arrays_are_delivered_compressed(spark, folder):
     rows = spark.range(20_000).selectExpr("cast(id AS string) AS id", "concat('name ', id % 7) AS name")
     path = str(folder / "rows.json")
