@@ -64,7 +64,7 @@ def prepare(
 ) -> DataFrame:
     """Standardised, one row per key, joined. Missing values are still null."""
     rows = dedupe(standardise(source, spec), spec.key)
-    return enrich_left(rows, dimensions or {}, spec.joins)
+    return enrich_left(rows, dimensions or {}, spec.joins, spec.join_tasks)
 
 
 def complete(prepared: DataFrame, spec: EnrichSpec, at: datetime | None = None) -> DataFrame:

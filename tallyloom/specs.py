@@ -89,7 +89,11 @@ class JoinSpec:
 
 @dataclass(frozen=True)
 class EnrichSpec:
-    """Raw table to cleaned, deduplicated, joined and completed table."""
+    """Raw table to cleaned, deduplicated, joined and completed table.
+
+    ``join_tasks`` deals the rows once for all joins, to about that many tasks, which saves
+    shuffles where rows are many and dimensions small beside them but too large to broadcast.
+    """
 
     table: str
     source: str
@@ -98,6 +102,7 @@ class EnrichSpec:
     batch_column: str | None = None
     clean: CleanRules = field(default_factory=CleanRules)
     joins: tuple[JoinSpec, ...] = ()
+    join_tasks: int | None = None
     critical: tuple[str, ...] = ()
     keep_null: tuple[str, ...] = ()
     count_duplicates: bool = True
