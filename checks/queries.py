@@ -643,7 +643,7 @@ def _dealt(spark: SparkSession, folder: str, orders: EnrichSpec) -> EnrichSpec:
 @query("enriched_orders_fanout")
 def enriched_orders_fanout(spark: SparkSession, folder: str) -> DataFrame:
     """Some customers and products are left out, so that unmatched order lines show."""
-    return _enriched(order_rows(spark, folder), ORDERS, _dimensions(spark, folder))
+    return _enriched(order_rows(spark, folder), _dealt(spark, folder, ORDERS), _dimensions(spark, folder))
 
 
 @query("enriched_orders_unique")
