@@ -13,7 +13,7 @@ from tallyloom.operators import enrich_left
 from tallyloom.operators.joins import can_deal
 
 SMALL = "/root/testdata/sf0.001"
-DEALT = ["enriched_orders_unique", "enriched_orders_fanout"]
+DEALT = ["enriched_orders_unique", "enriched_orders_fanout", "profit_with_fanout"]
 
 
 def rows(frame):
