@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.rawfiles import pack_workbooks, write_csv, write_json_arrays, write_workbooks
@@ -529,31 +529,45 @@ def customer_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Fixed value: the delivered column by which order lines lie.
+ROW_ID_START = "Row ID Start"
+
+
 def order_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as delivered: repeated line keys, dates as text, some of them bad."""
+    return _placed_order_rows(spark, folder, F.col("l_orderkey")).drop(ROW_ID_START)
+
+
+def _placed_order_rows(spark: SparkSession, folder: str, start: Column) -> DataFrame:
+    """Order lines as delivered, with the number by which they met their order and lie once they are many.
+
+    It is the order's; lines without an order may have another and match nothing.
+    """
     orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus"
+        F.col("o_orderkey").alias("row_id_start"), "o_custkey", "o_orderdate", "o_orderstatus"
     )
     lines = lookup(
-        table(spark, folder, "lineitem"),
+        table(spark, folder, "lineitem").withColumn("row_id_start", start),
         orders,
-        "l_orderkey",
+        "row_id_start",
         ["o_custkey", "o_orderdate", "o_orderstatus"],
     )
+    ordered = F.col("l_orderkey").isNotNull()
     return lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("Row ID"),
         F.concat(F.lit("O"), "l_orderkey").alias("Order ID"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("unknown"))
-        .otherwise(F.date_format("o_orderdate", "d/M/yyyy"))
+        F.when(ordered & (F.col("o_orderstatus") == "P"), F.lit("unknown"))
+        .when(ordered, F.date_format("o_orderdate", "d/M/yyyy"))
         .alias("Order Date"),
         F.date_format("l_shipdate", "d/M/yyyy").alias("Ship Date"),
         F.concat(F.lit(" "), "l_returnflag", "l_linestatus").alias("Ship Mode"),
-        F.concat(F.lit("C"), "o_custkey").alias("Customer ID"),
+        F.when(ordered, F.concat(F.lit("C"), "o_custkey")).alias("Customer ID"),
         F.concat(F.lit("P"), "l_partkey").alias("Product ID"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         F.col("l_extendedprice").alias("Price"),
         F.col("l_discount").alias("Discount"),
         line_profit().cast("double").alias("Profit"),
+        F.col("row_id_start").alias(ROW_ID_START),
     )
 
 
@@ -635,22 +649,27 @@ def enriched_products(spark: SparkSession, folder: str) -> DataFrame:
     return _enriched(products_by_state(spark, folder), PRODUCTS)
 
 
-def _dealt(spark: SparkSession, folder: str, orders: EnrichSpec) -> EnrichSpec:
-    """Once the lines are many, they are exchanged once for both lookups."""
-    return replace(orders, join_tasks=tasks_by_order(spark, folder, JOINED_LINES_PER_TASK))
+def _enriched_orders(spark: SparkSession, folder: str, orders: EnrichSpec) -> DataFrame:
+    """Once the lines are many, they are exchanged once for their order and their row id, and once for both lookups.
+
+    The number that a row id starts with depends on the id alone, so the key stays the row id.
+    """
+    start = F.coalesce("l_orderkey", "l_linenumber")
+    tasks = tasks_by_order(spark, folder, JOINED_LINES_PER_TASK)
+    placed = replace(orders, key=("row_id_start", *orders.key), join_tasks=tasks)
+    return _enriched(_placed_order_rows(spark, folder, start), placed, _dimensions(spark, folder))
 
 
 @query("enriched_orders_fanout")
 def enriched_orders_fanout(spark: SparkSession, folder: str) -> DataFrame:
     """Some customers and products are left out, so that unmatched order lines show."""
-    return _enriched(order_rows(spark, folder), _dealt(spark, folder, ORDERS), _dimensions(spark, folder))
+    return _enriched_orders(spark, folder, ORDERS)
 
 
 @query("enriched_orders_unique")
 def enriched_orders_unique(spark: SparkSession, folder: str) -> DataFrame:
     """Some customers and products are left out, so that unmatched order lines show."""
-    unique = _dealt(spark, folder, orders_with("unique"))
-    return _enriched(order_rows(spark, folder), unique, _dimensions(spark, folder))
+    return _enriched_orders(spark, folder, orders_with("unique"))
 
 
 @query("profit_with_fanout")
